@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -43,6 +44,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def interpreted(spark: SparkSession):
+    """Without whole-stage code: loops of many plans over few rows else fill the driver's memory with compiled classes."""
+    key = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xFF51AFD7ED558CCD)
@@ -83,23 +96,20 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each step only takes minima by node, so that a node with very many links needs no large group.
     """
-    def settled(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df.distinct(), name)
-
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    e = settled(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
-    seen = mark(e)
-    while seen[0]:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = settled(large.where("u <> v"), "large")
-        least = e.groupBy("u").agg(F.min("v").alias("m"))
-        small = e.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        e = settled(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "small")
-        if (now := mark(e)) == seen:
-            break
-        seen = now
+    with interpreted(edges.sparkSession):
+        e = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+        seen = mark(e)
+        while seen[0]:
+            both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+            e = materialize(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+            if (now := mark(e)) == seen:
+                break
+            seen = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()

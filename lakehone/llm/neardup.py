@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, materialize, rolled, small_batches
+from .common import WordHashes, components, interpreted, materialize, rolled, small_batches
 
 #: Values that a sketch retains.
 K = 64
@@ -18,7 +18,7 @@ K = 64
 HOT = 24
 ROUNDS = 3
 #: Buckets of the frequencies that order the retained values: a vector of fixed size.
-FREQ = 1 << 20
+FREQ = 1 << 18
 #: Shingles of one side of a block that is compared inside a task.
 BLOCK = 200_000
 #: Ids of at most this many texts are broadcast; more are joined by a shuffle.
@@ -187,7 +187,7 @@ class Search:
                     if not whole:
                         row = dict(zip(names, row))
                         m = needed(row["n"], t_of(row), k)
-                        s = s[np.lexsort((s, order[s.view(np.uint64) >> np.uint64(44)]))[: len(s) - m + 1]]
+                        s = s[np.lexsort((s, order[s.view(np.uint64) >> np.uint64(46)]))[: len(s) - m + 1]]
                     at.append(np.full(len(s), i))
                     values.append(s)
                 if at:
@@ -202,21 +202,22 @@ class Search:
             def count(batches):
                 total = np.zeros(FREQ, np.int64)
                 for batch in batches:
-                    v = batch.column(0).flatten().to_numpy().view(np.uint64) >> np.uint64(44)
+                    v = batch.column(0).flatten().to_numpy().view(np.uint64) >> np.uint64(46)
                     total += np.bincount(v.astype(np.int64), minlength=FREQ)
                 there = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["bucket", "n"])
 
-            got = self.units.select("sketch").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+            got = self.units.select("sketch").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
             out = np.zeros(FREQ, np.int64)
-            out[got.bucket.to_numpy(np.int64)] = got.n.to_numpy()
+            out[got["bucket"].to_numpy()] = got["n"].to_numpy()
             self._freq = self.spark.sparkContext.broadcast(out)
         return self._freq
 
     def links(self) -> DataFrame:
         """a, b: pairs of sets that are similar, enough of them to connect all that similar pairs connect."""
         t, percent = self.t, self.percent
-        stars = self.stars()
+        with interpreted(self.spark):
+            stars = self.stars()
         single = self.units
         if stars is not None:
             single = single.join(stars.select("sig"), "sig", "left_anti").join(stars.select(F.col("hub").alias("sig")).distinct(), "sig", "left_anti")
@@ -231,7 +232,8 @@ class Search:
         near = self.exact(self.estimated(pairs, str(t))).where(f"100 * common >= {percent} * united").select("a", "b")
         if stars is None:
             return near
-        return near.union(stars.select(F.col("sig").alias("a"), F.col("hub").alias("b"))).union(self.around(single, stars))
+        with interpreted(self.spark):
+            return near.union(stars.select(F.col("sig").alias("a"), F.col("hub").alias("b"))).union(self.around(single, stars))
 
     def around(self, single: DataFrame, stars: DataFrame) -> DataFrame:
         """a, b: links between stars, and between stars and other texts.
