@@ -13,17 +13,16 @@ from pyspark.sql import functions as F
 from .common import WordHashes, components, interpreted, materialize, rolled, small_batches
 
 #: Values that a sketch retains.
-K = 64
-#: A group of this many texts with the same least value is first gathered around its most typical text.
-HOT = 24
-ROUNDS = 3
+K = 32
+#: Groups of this many texts that share a retained value (the least, then the next) are gathered around their most typical text, with what has this similarity to it.
+HOT, ROUNDS, AROUND = 24, 4, 0.5
 #: Buckets of the frequencies that order the retained values: a vector of fixed size.
 FREQ = 1 << 18
 #: Shingles of one side of a block that is compared inside a task.
 BLOCK = 200_000
 #: Ids of at most this many texts are broadcast; more are joined by a shuffle.
 FEW = 2_000_000
-SIGMA = 6.0
+SIGMA = 5.0
 
 
 def shingles(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
@@ -84,7 +83,10 @@ def differing(a: str, b: str, t: str) -> str:
 
 
 class Search:
-    """One search over docs; what it needs of the texts is read again for those that some pair needs."""
+    """One search over docs; the whole texts are read again for those that some pair needs.
+
+    uid: a unit, which stands for all texts with the same set.
+    """
 
     def __init__(self, docs: DataFrame, words: int, percent: int, k: int = K, hot: int = HOT):
         self.docs, self.words, self.percent, self.k, self.hot = docs.select("text"), words, percent, k, hot
@@ -93,15 +95,18 @@ class Search:
         self.rows = materialize(sketched(docs, words, k), "sketches")
         alone = math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 62
         classes = self.rows.where("n > 0").groupBy("sig").agg(*(F.first(c).alias(c) for c in ("th", "n", "b0", "b1", "sketch")))
-        #: Texts with the same set are one; smaller sets than this are similar only if equal.
-        self.units = materialize(classes.where(F.col("n") >= alone), "units")
+        #: Smaller sets than `alone` are similar only if equal.
+        self.units = materialize(classes.where(F.col("n") >= alone).withColumn("uid", F.monotonically_increasing_id()), "units")
+
+    def some(self, df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+        """Rows of df whose key is in wanted: without a shuffle of df while wanted is few."""
+        wanted = materialize(wanted.select(key).distinct(), "wanted")
+        return df.join(F.broadcast(wanted) if wanted.count() <= FEW else wanted, key, "left_semi")
 
     def sets(self, wanted: DataFrame) -> DataFrame:
-        """sig, set for wanted (sig, th), of the whole texts."""
-        wanted = materialize(wanted.distinct(), "wanted")
-        few = wanted.count() <= FEW
-        ids = wanted.select("th").distinct()
-        texts = self.docs.withColumn("th", F.xxhash64("text")).join(F.broadcast(ids) if few else ids, "th", "left_semi").select("text")
+        """uid, set for wanted (uid), of the whole texts."""
+        known = materialize(self.some(self.units, wanted, "uid").select("uid", "th", "sig"), "known")
+        texts = self.some(self.docs.withColumn("th", F.xxhash64("text")), known, "th").select("text")
         words = self.words
 
         def run(batches):
@@ -110,68 +115,76 @@ class Search:
                 sets = [shingles(t, words, hashes) for t in dict.fromkeys(batch.column(0).to_pylist())]
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["sig", "set"])
 
-        return texts.mapInArrow(run, "sig binary, set array<long>").groupBy("sig").agg(F.first("set").alias("set"))
+        once = texts.mapInArrow(run, "sig binary, set array<long>").groupBy("sig").agg(F.first("set").alias("set"))
+        return once.join(known.select("uid", "sig"), "sig").select("uid", "set")
 
-    def estimated(self, pairs: DataFrame, t: str) -> DataFrame:
-        """Those of pairs (a, b, ...) whose sketch of the union estimates similarity t or more, but for SIGMA deviations."""
+    def estimated(self, pairs: DataFrame, t: str, sigma: float = SIGMA) -> DataFrame:
+        """Those of pairs (a, b, ...) whose sketch of the union estimates similarity t or more, but for `sigma` deviations."""
         k = self.k
-        side = lambda c: self.units.select(F.col("sig").alias(c), F.col("th").alias(f"th_{c}"), F.col("sketch").alias(f"s_{c}"))
+        pairs = materialize(pairs, "pairs")
+        known = self.some(self.units, pairs.select(F.col("a").alias("uid")).union(pairs.select("b")), "uid").select("uid", "sketch")
+        side = lambda c: known.withColumnsRenamed({"uid": c, "sketch": f"s_{c}"})
         joined = pairs.join(side("a"), "a").join(side("b"), "b")
         union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
         both = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
-        size = F.size(union)
-        wide = F.expr(f"({t}) - {SIGMA} * sqrt(({t}) * (1 - ({t})) / {k})")
-        return joined.withColumn("est", both / size).where(F.col("est") >= wide).drop("s_a", "s_b", "est")
+        wide = F.expr(f"({t}) - {sigma} * sqrt(({t}) * (1 - ({t})) / {k})")
+        return joined.where(both / F.size(union) >= wide).select(pairs.columns)
 
-    def exact(self, pairs: DataFrame) -> DataFrame:
-        """pairs (a, b, th_a, th_b, ...) with common and united: the exact sizes of intersection and union."""
+    def exact(self, pairs: DataFrame, rest: bool = False) -> DataFrame:
+        """pairs (a, b, ...) with common and united, the exact sizes of intersection and union, and with `rest` only_a: what a has and b has not."""
         pairs = materialize(pairs, "pairs")
-        sets = materialize(self.sets(pairs.select(F.col("a").alias("sig"), F.col("th_a").alias("th")).union(pairs.select("b", "th_b"))), "sets")
-        joined = pairs.join(sets.withColumnsRenamed({"sig": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"sig": "b", "set": "set_b"}), "b")
-        rest = [c for c in pairs.columns if c not in ("th_a", "th_b")]
-        fields = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in rest)
+        sets = self.sets(pairs.select(F.col("a").alias("uid")).union(pairs.select("b")))
+        sets = materialize(sets, "sets")
+        joined = pairs.join(sets.withColumnsRenamed({"uid": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"uid": "b", "set": "set_b"}), "b")
+        names = pairs.columns
+        fields = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in names) + ", common long, united long" + ", only_a array<long>" * rest
 
         def run(batches):
             for batch in batches:
-                common, united = [], []
+                common, united, only = [], [], []
                 for x, y in zip(batch.column("set_a"), batch.column("set_b")):
                     x, y = x.values.to_numpy(), y.values.to_numpy()
                     common.append(len(np.intersect1d(x, y, assume_unique=True)))
                     united.append(len(x) + len(y) - common[-1])
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(common, pa.int64()), pa.array(united, pa.int64())], [*rest, "common", "united"])
+                    if rest:
+                        only.append(np.setdiff1d(x, y, assume_unique=True))
+                cols = [*(batch.column(c) for c in names), pa.array(common, pa.int64()), pa.array(united, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(only, pa.list_(pa.int64()))] if rest else cols, [*names, "common", "united", *["only_a"] * rest])
 
-        return materialize(joined.select(*rest, "set_a", "set_b").mapInArrow(run, f"{fields}, common long, united long"), "exact")
+        return materialize(joined.select(*names, "set_a", "set_b").mapInArrow(run, fields), "exact")
 
-    def stars(self) -> DataFrame | None:
-        """sig, hub, far (1 - similarity): texts of large groups with the same retained value that are linked with the group's hub.
+    def groups(self) -> DataFrame | None:
+        """uid, hub, n, common, united, only_a, member: texts around hubs.
 
-        The hub is the text whose retained values are most frequent in its group.  Each text is compared with one hub a
-        round, so a group of any size takes work in proportion.
+        A hub is the text whose retained values are most frequent among those that share one of them, if HOT or more do.  Each text is
+        compared with one hub a round, so a group of any size takes work in proportion.  Members are linked with their
+        hub; the other texts have similarity AROUND with it at least.
         """
         found = None
         left = self.units
         for r in range(ROUNDS):
             keyed = left.where(F.size("sketch") > r).withColumn("anchor", F.get("sketch", F.lit(r)))
-            large = keyed.groupBy("anchor").count().where(F.col("count") >= self.hot).select("anchor")
-            group = materialize(keyed.join(large, "anchor", "left_semi").select("anchor", "sig", "th", "n", "b0", "b1", "sketch"), "group")
+            large = keyed.groupBy("anchor").count().where(F.col("count") >= self.hot)
+            group = materialize(self.some(keyed, large, "anchor").select("anchor", "uid", "n", "b0", "b1", "sketch"), "group")
             if group.isEmpty():
                 break
-            values = group.select("anchor", "sig", F.explode("sketch").alias("value"))
+            values = group.select("anchor", "uid", F.explode("sketch").alias("value"))
             often = values.groupBy("anchor", "value").count()
-            typical = values.join(often, ["anchor", "value"]).groupBy("anchor", "sig").agg(F.sum("count").alias("score"))
-            hubs = typical.groupBy("anchor").agg(F.max(F.struct("score", "sig")).getField("sig").alias("hub"))
-            hubs = group.select(F.col("sig").alias("hub"), "n", "b0", "b1").distinct().join(hubs, "hub")
-            pairs = group.alias("x").join(hubs.alias("y"), (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.sig") != F.col("y.hub")) & F.expr(differing("x", "y", str(self.t))))
-            near = self.exact(self.estimated(pairs.select(F.col("x.sig").alias("a"), F.col("y.hub").alias("b")), str(self.t)))
-            near = near.where(f"100 * common >= {self.percent} * united").select(F.col("a").alias("sig"), F.col("b").alias("hub"), (1 - F.col("common") / F.col("united")).alias("far"))
-            # A hub that is another's member would make chains: it stays a hub.
-            near = materialize(near.join(near.select(F.col("hub").alias("sig")).distinct(), "sig", "left_anti"), "stars")
-            if near.isEmpty():
-                continue
-            found = near if found is None else found.union(near)
-            done = near.select("sig").union(near.select("hub")).distinct()
-            left = materialize(left.join(done, "sig", "left_anti"), "left")
-        return None if found is None else materialize(found, "stars")
+            typical = values.join(often, ["anchor", "value"]).groupBy("anchor", "uid").agg(F.sum("count").alias("score"))
+            hubs = typical.groupBy("anchor").agg(F.max(F.struct("score", "uid")).getField("uid").alias("hub"))
+            hubs = materialize(group.select(F.col("uid").alias("hub"), "anchor", "n", "b0", "b1").join(hubs, ["anchor", "hub"]), "hubs")
+            pairs = group.alias("x").join(hubs.alias("y"), (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.uid") != F.col("y.hub")) & F.expr(differing("x", "y", str(AROUND))))
+            near = self.exact(self.estimated(pairs.select(F.col("x.uid").alias("a"), F.col("y.hub").alias("b"), "x.n"), str(AROUND), 0.0), rest=True)
+            near = near.where(f"common >= {AROUND} * united").withColumn("member", F.expr(f"100 * common >= {self.percent} * united")).withColumnsRenamed({"a": "uid", "b": "hub"})
+            found = near if found is None else found.unionByName(near)
+            done = near.where("member").select("uid").union(near.where("member").select("hub"))
+            left = materialize(left.join(done.distinct(), "uid", "left_anti"), "left")
+        if found is None:
+            return None
+        # A text is a member of one hub, and a hub with members is a member of none: stars, not chains.
+        hubs = found.where("member").select(F.col("hub").alias("uid")).distinct()
+        chained = found.join(hubs.withColumn("is_hub", F.lit(True)), "uid", "left")
+        return materialize(chained.withColumn("member", F.expr("member and is_hub is null")).drop("is_hub"), "groups")
 
     def prefixes(self, units: DataFrame, t_of, fields: str, whole: bool = False) -> DataFrame:
         """value and `fields` of units, a row for each of the rarest retained values that two similar texts must share one of (or for each, if `whole`)."""
@@ -182,10 +195,10 @@ class Search:
             order = None if freq is None else freq.value
             for batch in batches:
                 at, values = [], []
-                for i, (s, row) in enumerate(zip(batch.column("sketch"), zip(*(batch.column(c).to_pylist() for c in names)))):
+                rows = batch.select([c for c in names if c in ("n", "r")]).to_pylist()
+                for i, (s, row) in enumerate(zip(batch.column("sketch"), rows)):
                     s = s.values.to_numpy()
                     if not whole:
-                        row = dict(zip(names, row))
                         m = needed(row["n"], t_of(row), k)
                         s = s[np.lexsort((s, order[s.view(np.uint64) >> np.uint64(46)]))[: len(s) - m + 1]]
                     at.append(np.full(len(s), i))
@@ -207,70 +220,89 @@ class Search:
                 there = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["bucket", "n"])
 
-            got = self.units.select("sketch").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+            got = self.units.select("sketch").coalesce(16).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
             out = np.zeros(FREQ, np.int64)
             out[got["bucket"].to_numpy()] = got["n"].to_numpy()
             self._freq = self.spark.sparkContext.broadcast(out)
         return self._freq
 
+    def linked(self, found: DataFrame) -> DataFrame:
+        return found.where(f"100 * common >= {self.percent} * united").select("a", "b")
+
     def links(self) -> DataFrame:
-        """a, b: pairs of sets that are similar, enough of them to connect all that similar pairs connect."""
-        t, percent = self.t, self.percent
+        """a, b: pairs of units that are similar, enough of them to connect all that similar pairs connect."""
+        t = self.t
         with interpreted(self.spark):
-            stars = self.stars()
-        single = self.units
-        if stars is not None:
-            single = single.join(stars.select("sig"), "sig", "left_anti").join(stars.select(F.col("hub").alias("sig")).distinct(), "sig", "left_anti")
-        single = materialize(single, "single") if stars is not None else single
-
-        step = math.log(1 / t) if t < 1 else 1.0
-        lists = self.prefixes(single, lambda row: t, "sig binary, n long, b0 long, b1 long").withColumn("size", F.floor(F.log("n") / step + 1e-9))
-        lists = materialize(lists, "lists")
-        ahead = lists.withColumn("to", F.explode(F.array("size", F.col("size") + 1)))
-        pairs = ahead.alias("x").join(lists.alias("y"), F.expr("x.value = y.value and x.to = y.size and (x.size < y.size or x.sig < y.sig) and " + differing("x", "y", str(t))))
-        pairs = pairs.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
-        near = self.exact(self.estimated(pairs, str(t))).where(f"100 * common >= {percent} * united").select("a", "b")
-        if stars is None:
+            groups = self.groups()
+        units = self.units.withColumn("g", F.array().cast("array<long>"))
+        if groups is not None:
+            own = groups.groupBy("uid").agg(F.array_sort(F.collect_set("hub")).alias("g"), F.max("member").alias("member"))
+            units = self.units.join(own, "uid", "left").where("member is null or not member").withColumn("g", F.coalesce("g", F.array().cast("array<long>")))
+            hubs = groups.where("member").select(F.col("hub").alias("uid")).distinct().withColumn("hub", F.lit(True))
+            units = units.join(hubs, "uid", "left").where("hub is null").drop("hub", "member")
+            units = materialize(units, "single")
+        lists = self.prefixes(units, lambda row: t, "uid long, n long, b0 long, b1 long, g array<long>")
+        pairs = lists.alias("x").join(lists.alias("y"), F.expr("x.value = y.value and x.uid < y.uid and " + differing("x", "y", str(t)) + " and not arrays_overlap(x.g, y.g)"))
+        pairs = pairs.select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct()
+        near = self.linked(self.exact(self.estimated(pairs, str(t))))
+        if groups is None:
             return near
         with interpreted(self.spark):
-            return near.union(stars.select(F.col("sig").alias("a"), F.col("hub").alias("b"))).union(self.around(single, stars))
+            stars = groups.where("member")
+            return near.union(stars.select(F.col("uid").alias("a"), F.col("hub").alias("b"))).union(self.inside(groups)).union(self.around(units, stars))
+
+    def inside(self, groups: DataFrame) -> DataFrame:
+        """a, b: links of texts that are not their hub's members with others of the same hub.
+
+        Let x have c values in common with hub h, and be linked with y: their intersection is t / (1 + t) (|x| + |y|) at least.  Values of
+        h give c of them at most; so they share a value that h has not, or |y| <= c (1 + t) / t - |x|.  Both cases are equi-joins.
+        """
+        t = self.t
+        edge = groups.where("not member").withColumn("small", F.col("common") * ((1 + t) / t) - F.col("n") + 1e-6)
+        values = groups.select("hub", "uid", "n", F.explode("only_a").alias("value"))
+        rare = edge.select("hub", "uid", "n", F.explode("only_a").alias("value"))
+        fit = f"least(x.n, y.n) >= {t} * greatest(x.n, y.n) - 1e-6 and x.uid <> y.uid"
+        shared = rare.alias("x").join(values.alias("y"), F.expr(f"x.hub = y.hub and x.value = y.value and {fit}"))
+        smaller = edge.where(f"small >= {t} * n - 1e-6").alias("x").join(groups.select("hub", "uid", "n").alias("y"), F.expr(f"x.hub = y.hub and y.n <= x.small and {fit}"))
+        pick = lambda df: df.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b"))
+        return self.linked(self.exact(self.estimated(pick(shared).union(pick(smaller)).distinct(), str(t))))
 
     def around(self, single: DataFrame, stars: DataFrame) -> DataFrame:
-        """a, b: links between stars, and between stars and other texts.
+        """a, b: links between stars, and between stars and texts of other groups.
 
         1 - similarity is a metric.  So a text linked with a member of a star is at most 1 - t plus the star's radius
         from its hub: only texts that near are compared with its members, block by block.
         """
         t, percent = self.t, self.percent
-        radius = stars.groupBy(F.col("hub").alias("sig")).agg(F.max("far").alias("r"))
-        hubs = materialize(self.units.join(radius, "sig"), "hubs")
-        most = 1 - t
+        radius = stars.groupBy(F.col("hub").alias("uid")).agg(F.max(1 - F.col("common") / F.col("united")).alias("r"))
+        hubs = self.units.join(F.broadcast(radius) if stars.count() <= FEW else radius, "uid").withColumn("g", F.array("uid"))
+        hubs = materialize(hubs, "hubs")
         every = single.withColumn("r", F.lit(0.0)).unionByName(hubs)
-        fields = "sig binary, n long, b0 long, b1 long, r double"
-        probe = self.prefixes(hubs, lambda row: max(0.01, t - row["r"] - most), fields)
+        most = 1 - t
+        fields = "uid long, n long, b0 long, b1 long, r double, g array<long>"
+        probe = materialize(self.prefixes(hubs, lambda row: max(0.01, t - row["r"] - most), fields), "probe")
         lists = self.prefixes(every, None, fields, whole=True)
         reach = f"greatest(0.01, {t} - x.r - y.r)"
-        pairs = probe.alias("x").join(lists.alias("y"), F.expr("x.value = y.value and x.sig <> y.sig and (y.r = 0 or x.sig < y.sig) and " + differing("x", "y", reach)))
-        pairs = pairs.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"), (F.col("x.r") + F.col("y.r")).alias("r")).distinct()
+        few = probe.count() <= FEW // 10
+        pairs = lists.alias("y").join((F.broadcast(probe) if few else probe).alias("x"), F.expr("x.value = y.value and x.uid <> y.uid and (y.r = 0 or x.uid < y.uid) and not array_contains(y.g, x.uid) and " + differing("x", "y", reach)))
+        pairs = pairs.select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"), (F.col("x.r") + F.col("y.r")).alias("r")).distinct()
         found = self.exact(self.estimated(pairs, f"greatest(0.01, {t} - r)"))
-        direct = found.where(f"100 * common >= {percent} * united").select("a", "b")
-        open_ = found.where(f"100 * common < {percent} * united and common >= ({t} - r - 1e-9) * united").select("a", "b")
-        open_ = materialize(open_, "open")
+        direct = self.linked(found)
+        open_ = materialize(found.where(f"100 * common < {percent} * united and common >= ({t} - r - 1e-9) * united").select("a", "b"), "open")
         if open_.isEmpty():
             return direct
-        member = stars.select("hub", "sig").union(hubs.select("sig", "sig"))
-        probes = open_.join(member.withColumnsRenamed({"hub": "b", "sig": "m"}), "b", "left").select("a", F.coalesce("m", "b").alias("sig")).distinct()
+        member = stars.select("hub", "uid").union(hubs.select("uid", "uid"))
+        probes = open_.join(member.withColumnsRenamed({"hub": "b", "uid": "m"}), "b", "left").select("a", F.coalesce("m", "b").alias("uid")).distinct()
         targets = open_.select("a").distinct().join(member.withColumnRenamed("hub", "a"), "a")
-        known = self.units.select("sig", "th", "n")
+        sets = materialize(self.sets(probes.select("uid").union(targets.select("uid"))), "sets")
 
-        def chunked(side: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-            sized = side.join(known.select("sig", "n"), "sig")
+        def chunked(side: DataFrame, name: str) -> DataFrame:
+            sized = side.join(self.units.select("uid", "n"), "uid")
             parts = sized.groupBy("a").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
-            placed = sized.join(parts, "a").withColumn("part", F.pmod(F.hash("sig"), "parts").cast("int"))
-            return placed.join(sets, "sig").groupBy("a", "part").agg(F.collect_list(F.struct("sig", "set")).alias(name)).drop("part")
+            placed = sized.join(parts, "a").withColumn("part", F.pmod(F.hash("uid"), "parts").cast("int"))
+            return placed.join(sets, "uid").groupBy("a", "part").agg(F.collect_list(F.struct("uid", "set")).alias(name)).drop("part")
 
-        sets = materialize(self.sets(probes.select("sig").union(targets.select("sig")).distinct().join(known, "sig").select("sig", "th")), "sets")
-        blocks = chunked(probes, sets, "p").join(chunked(targets, sets, "q"), "a")
+        blocks = chunked(probes, "p").join(chunked(targets, "q"), "a")
 
         def run(batches):
             for batch in batches:
@@ -286,15 +318,13 @@ class Search:
                         many = high - low
                         at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
                         common = np.bincount(owner[at], minlength=len(q))
-                        good = np.flatnonzero(100 * common >= percent * (size + len(s) - common))
-                        for i in good:
-                            if q[i]["sig"] != x["sig"]:
-                                a.append(x["sig"])
-                                b.append(q[i]["sig"])
-                                break
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+                        good = [i for i in np.flatnonzero(100 * common >= percent * (size + len(s) - common)) if q[i]["uid"] != x["uid"]]
+                        if good:
+                            a.append(x["uid"])
+                            b.append(q[good[0]]["uid"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-        return direct.union(materialize(blocks.select("p", "q").mapInArrow(run, "a binary, b binary"), "inside"))
+        return direct.union(materialize(blocks.select("p", "q").mapInArrow(run, "a long, b long"), "across"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K, hot: int = HOT) -> DataFrame:
@@ -306,15 +336,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     Rows that repeat are in one component; a row whose doc_id is null is in the component of its text and is kept only if no
     doc_id is known there.  An empty table gives an empty result; other columns are ignored.
 
-    Sketch overlap and bits decide candidates at six standard deviations; every link is confirmed on the full sets.
+    Sketch overlap and bits decide candidates at five standard deviations; every link is confirmed on the full sets.
     """
     search = Search(docs, words, percent, k, hot)
-    nodes = components(search.links())
+    nodes = components(search.links()).join(search.units.select(F.col("uid").alias("node"), "sig"), "node").select("sig", "root")
     ids = search.rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
-    linked = ids.join(nodes.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    linked = linked.select("sig", "root", "least")
-    roots = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = materialize(linked.join(roots, "root").select("sig", "component_id"), "components")
+    linked = materialize(ids.join(nodes, "sig", "left"), "linked")
+    roots = linked.where("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
+    found = linked.join(roots, "root", "left").select("sig", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
     out = search.rows.select("doc_id", "th", "n", "sig").join(found, "sig", "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), own.alias("component_id"), "sig").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
