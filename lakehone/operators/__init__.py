@@ -1 +1 @@
-
+"""Relational operators: all are DataFrame joins, windows and aggregations."""

@@ -1 +1 @@
-
+"""Plans: whole procedures put together from operators."""

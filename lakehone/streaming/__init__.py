@@ -1 +1 @@
-
+"""Streams.  All inputs of this library are bounded, so there are no stream operators."""
