@@ -77,7 +77,7 @@ def evaluation_rows(members: DataFrame) -> DataFrame:
     get = lambda *paths: F.coalesce(*(F.get_json_object("text", p) for p in paths))
     rows = members.select(get("$.task").alias("task"), get("$.metric", "$.json.metric", "$.metric_list[0].metric", "$.metric_list[0]").alias("metric"), F.explode(F.from_json(get("$.json.data.dev", "$.data.dev"), row)).alias("r"))
     output = F.when(F.col("r.output").startswith("["), F.from_json("r.output", "array<string>")).otherwise(F.array("r.output"))
-    return rows.select("task", "metric", "r.id", "r.instruction", "r.input", F.filter(F.transform(output, F.trim), lambda x: x != "").alias("references"))
+    return rows.select("task", "metric", "r.id", "r.instruction", "r.input", F.filter(F.transform(output, lambda x: F.trim(x)), lambda x: x != "").alias("references"))
 
 
 def tar_lines(spark: SparkSession, path: str, names: tuple[str, ...] = ("sample.jsonl", "examples.jsonl")) -> DataFrame:

@@ -206,7 +206,7 @@ def test_prepare(spark):
         for i in range(40):
             said, answer = f"q{rng.randrange(40)}", rng.choice(["x", "y", ""])
             messages = [{"role": "user", "content": said}, {"role": "assistant", "content": answer}]
-            raw.append((name, "r", "1", "c", "dialogue", preserved, labeled, split, i, "s", "t", json.dumps(messages), None))
+            raw.append((name, f"r/{name}", "1", "c", "dialogue", preserved, labeled, split, i, "s", "t", json.dumps(messages), None))
             good = bool(answer) or not labeled
             whole, asked = jsons.fingerprints(messages, [])
             own = "validation" if split == "dev" else split
