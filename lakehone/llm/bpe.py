@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
@@ -18,7 +19,6 @@ CUT_MASK = np.uint64(255)
 #: Bytes of chunks that a Python worker remembers.
 CACHE_BYTES = 24_000_000
 #: Scripts whose letters, digits and white space all Unicode versions in use agree on; other texts take the library's own way.
-BOUNDARY = regex.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 PLAIN = regex.compile("[^\x00-\x1b\x20-\x84\x86-ȟ̀-͎Α-ΡΣ-ώЀ-џ‐-‧€]")
 
 
@@ -39,12 +39,8 @@ class Codec:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         letters = _letters()
@@ -58,19 +54,31 @@ class Codec:
         import public_tokenizers
 
         self.fast = tiktoken.Encoding("chunks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocab, special_tokens={}) if spec["model"]["type"] == "BPE" and spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and not spec["normalizer"] else None
-        self.cache: dict[str, tuple[np.ndarray, tuple[int, int]]] = {}
+        self.cache: dict[str, np.ndarray] = {}
         self.held = 0
         self.reused = self.encoded = 0
 
+    @functools.cached_property
+    def library(self):
+        """The file's own library, for texts that the fast way isn't sure of."""
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        out = Tokenizer.from_file(self.path)
+        out.no_truncation()
+        out.no_padding()
+        return out
+
     def direct(self, text: str) -> np.ndarray:
         if self.fast is None or not text.isascii() and PLAIN.search(text) or any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.fast.encode_to_numpy(text, disallowed_special=())
+        return np.array(self.fast.encode_ordinary(text), np.uint32)
 
-    def chunks(self, text: str) -> list[str]:
-        if len(text) < 256 or any(s in text for s in self.special):
-            return [text]
+    def cuts(self, text: str) -> tuple[bytes, np.ndarray, list[int]]:
+        """The text's bytes, the places where it could be cut (a letter, one space, a letter), and which of them it is cut at."""
         raw = text.encode()
+        if len(raw) < 256 or any(s in text for s in self.special):
+            return raw, np.zeros(0, np.int64), []
         b = np.frombuffer(raw, np.uint8)
         at = np.flatnonzero(b[8:-1] == 32) + 8
         letter = lambda x: ((x | 32) >= 97) & ((x | 32) <= 122)
@@ -79,70 +87,55 @@ class Codec:
         for i in range(1, 9):
             h = h * np.uint64(0x100000001B3) + b[at - i]
         h ^= h >> np.uint64(29)
-        cuts = at[(h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) & CUT_MASK == 0].tolist()
-        return [raw[i:j].decode() for i, j in zip([0, *cuts], [*cuts, len(raw)])]
+        return raw, at, np.flatnonzero((h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) & CUT_MASK == 0).tolist()
 
-    def chunk(self, text: str) -> tuple[np.ndarray, tuple[int, int]]:
-        """Ids of a chunk, and the first and last place in it where it could be cut as well: a letter, one space, a letter."""
-        if (known := self.cache.get(text)) is not None:
+    def chunk(self, text: str) -> np.ndarray:
+        if (ids := self.cache.get(text)) is not None:
             self.reused += 1
-            return known
-        known = self.direct(text), (_first(text), _last(text))
+            return ids
+        ids = self.direct(text)
         self.encoded += 1
-        self.held += 2 * len(text) + known[0].nbytes + 200
+        self.held += 2 * len(text) + ids.nbytes + 200
         if self.held > CACHE_BYTES:
             self.cache.clear()
-            self.held = 2 * len(text) + known[0].nbytes + 200
-        self.cache[text] = known
-        return known
+            self.held = 2 * len(text) + ids.nbytes + 200
+        self.cache[text] = ids
+        return ids
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        chunks = self.chunks(text)
-        out, left, last = [], "", 0
-        for chunk in chunks:
-            ids, (first, next_last) = self.chunk(chunk)
-            if out:
-                if (ids := self.join(out, left, last, ids, chunk, first)) is None:
-                    return self.direct(text)
-            out.append(ids)
-            left, last = chunk, next_last
-        return np.concatenate(out) if len(out) > 1 else out[0]
-
-    def join(self, out: list[np.ndarray], left: str, last: int, ids: np.ndarray, right: str, first: int) -> np.ndarray | None:
-        """Ids of `right` if those of the joined text agree around the join, looked at in growing windows; None if they never do."""
+        raw, at, cuts = self.cuts(text)
+        if not cuts:
+            return self.chunk(text)
+        ends = [0, *at[cuts].tolist(), len(raw)]
+        out = [self.chunk(raw[i:j].decode()) for i, j in zip(ends, ends[1:])]
+        for k, cut in enumerate(cuts):
+            if not self.joined(out[k], out[k + 1], raw, at, cut, ends[k], ends[k + 2]):
+                return self.direct(text)
+        return np.concatenate(out)
+
+    def joined(self, left: np.ndarray, right: np.ndarray, raw: bytes, at: np.ndarray, cut: int, first: int, last: int) -> bool:
+        """Whether the joined text has the ids of both chunks around their join: looked at from one place to cut to the next, then in doubled windows up to both chunks."""
+        k, here = 1, int(at[cut])
         while True:
-            tail, head = left[last:], right[:first]
-            both, size, n = self.direct(tail + head), len(tail.encode()), 0
+            low = max(first, int(at[cut - k])) if cut >= k else first
+            high = min(last, int(at[cut + k])) if cut + k < len(at) else last
+            both, size, n = self.direct(raw[low:high].decode()), here - low, 0
             while n < len(both) and size > 0:
                 size -= len(self.pieces[both[n]])
                 n += 1
             m = len(both) - n
-            if not size and n <= len(out[-1]) and m <= len(ids) and (both[:n] == out[-1][len(out[-1]) - n :]).all() and (both[n:] == ids[:m]).all():
-                return ids
-            if not last and first == len(right):
-                return None
-            last = _last(left, max(0, len(left) - 2 * len(tail)))
-            first = _first(right, 2 * len(head))
+            if not size and n <= len(left) and m <= len(right) and (both[:n] == left[len(left) - n :]).all() and (both[n:] == right[:m]).all():
+                return True
+            if (low, high) == (first, last):
+                return False
+            k *= 2
 
     def text(self, ids: np.ndarray) -> str:
         return b"".join(map(self.pieces.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-def _first(text: str, at: int = 1) -> int:
-    found = BOUNDARY.search(text, at)
-    return found.start() if found else len(text)
-
-
-def _last(text: str, before: int | None = None) -> int:
-    end = len(text) if before is None else before
-    while (end := text.rfind(" ", 0, end)) > 0:
-        if text[end - 1 : end + 2].isascii() and text[end - 1].isalpha() and text[end + 1 : end + 2].isalpha():
-            return end
-    return 0
-
-
 def _letters() -> dict[str, int]:
     """The byte of each printable stand-in of byte-level vocabularies."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]

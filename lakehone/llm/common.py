@@ -36,11 +36,11 @@ def work_dir(spark: SparkSession) -> str:
     return sc._lakehone_work
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it again: lineage ends there and survives a lost executor."""
     spark = df.sparkSession
     path = f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -19,29 +19,29 @@ BLOCK_DOCS = 256
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes (two bits a value: its bytes less one) and data bytes of unsigned 32-bit values."""
     ranks = np.ascontiguousarray(ranks, "<u4")
-    width = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    most = 1 + sum(int(ranks.max(initial=0)) > x for x in (0xFF, 0xFFFF, 0xFFFFFF))
     code = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    code[: len(ranks)] = width - 1
+    keep = np.ones((len(ranks), most), bool)
+    for i in range(1, most):
+        keep[:, i] = ranks > (1 << 8 * i) - 1
+        code[: len(ranks)] += keep[:, i]
     code = code.reshape(-1, 4)
     control = code[:, 0] | code[:, 1] << 2 | code[:, 2] << 4 | code[:, 3] << 6
-    keep = np.arange(4, dtype=np.uint8)[None, :] < width[:, None]
-    return control.astype(np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[keep].tobytes()
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[:, :most][keep].tobytes()
 
 
 #: Widths of the four values of each control byte.
-WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64) + 1
+WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + np.uint8(1)
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The n values of pack()."""
     width = WIDTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    ends = np.cumsum(width)
-    starts = ends - width
+    starts = np.cumsum(width, dtype=np.int64) - width
     raw = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(3, np.uint8)])
     out = raw[starts].astype(np.uint32)
-    for i in range(1, 4):
-        if (more := width > i).any():
-            out[more] |= raw[starts[more] + i].astype(np.uint32) << np.uint32(8 * i)
+    for i in range(1, int(width.max(initial=1))):
+        out |= (raw[starts + i] * (width > i)).astype(np.uint32) << np.uint32(8 * i)
     return out
 
 
@@ -74,13 +74,12 @@ def write(docs: DataFrame, target: str, path: str | None = None, end: int | None
     spark, path = docs.sparkSession, path or default_tokenizer()
     size = len(codec(path).pieces)
     width = 2 if size <= 65536 and (end is None or end < 65536) else 4
-    rows = materialize(token_ids(docs, path, end), "ids")
+    rows = materialize(token_ids(docs, path, end), "ids", "lz4_raw")
 
     def count(batches):
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(raw, f"<u{width}"), minlength=size)
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), f"<u{width}"), minlength=size)
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["id", "n"])
 
@@ -121,7 +120,7 @@ def write(docs: DataFrame, target: str, path: str | None = None, end: int | None
             yield block()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ordered.select("doc_id", "n", "ids", "shard").mapInArrow(blocks, f"shard int, block int, doc_ids array<{kind}>, lengths binary, n long, control binary, data binary").write.option("compression", "zstd").parquet(f"{target}/blocks")
+    ordered.select("doc_id", "n", "ids", "shard").mapInArrow(blocks, f"shard int, block int, doc_ids array<{kind}>, lengths binary, n long, control binary, data binary").write.option("compression", "lz4_raw").parquet(f"{target}/blocks")
 
 
 def read(spark, target: str, digest: bool = False) -> DataFrame:
