@@ -15,7 +15,7 @@ from .common import WordHashes, components, interpreted, materialize, rolled, sm
 #: Values that a sketch retains.
 K = 32
 #: Groups of this many texts that share a retained value (the least, then the next) are gathered around their most typical text, with what has this similarity to it.
-HOT, ROUNDS, AROUND = 24, 4, 0.5
+HOT, ROUNDS, AROUND = 24, 3, 0.6
 #: Buckets of the frequencies that order the retained values: a vector of fixed size.
 FREQ = 1 << 18
 #: Shingles of one side of a block that is compared inside a task.
@@ -130,31 +130,28 @@ class Search:
         wide = F.expr(f"({t}) - {sigma} * sqrt(({t}) * (1 - ({t})) / {k})")
         return joined.where(both / F.size(union) >= wide).select(pairs.columns)
 
-    def exact(self, pairs: DataFrame, rest: bool = False) -> DataFrame:
-        """pairs (a, b, ...) with common and united, the exact sizes of intersection and union, and with `rest` only_a: what a has and b has not."""
+    def exact(self, pairs: DataFrame) -> DataFrame:
+        """pairs (a, b, ...) with common and united, the exact sizes of intersection and union."""
         pairs = materialize(pairs, "pairs")
         sets = self.sets(pairs.select(F.col("a").alias("uid")).union(pairs.select("b")))
         sets = materialize(sets, "sets")
         joined = pairs.join(sets.withColumnsRenamed({"uid": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"uid": "b", "set": "set_b"}), "b")
         names = pairs.columns
-        fields = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in names) + ", common long, united long" + ", only_a array<long>" * rest
+        fields = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in names) + ", common long, united long"
 
         def run(batches):
             for batch in batches:
-                common, united, only = [], [], []
+                common, united = [], []
                 for x, y in zip(batch.column("set_a"), batch.column("set_b")):
                     x, y = x.values.to_numpy(), y.values.to_numpy()
                     common.append(len(np.intersect1d(x, y, assume_unique=True)))
                     united.append(len(x) + len(y) - common[-1])
-                    if rest:
-                        only.append(np.setdiff1d(x, y, assume_unique=True))
-                cols = [*(batch.column(c) for c in names), pa.array(common, pa.int64()), pa.array(united, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(only, pa.list_(pa.int64()))] if rest else cols, [*names, "common", "united", *["only_a"] * rest])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(common, pa.int64()), pa.array(united, pa.int64())], [*names, "common", "united"])
 
         return materialize(joined.select(*names, "set_a", "set_b").mapInArrow(run, fields), "exact")
 
     def groups(self) -> DataFrame | None:
-        """uid, hub, n, common, united, only_a, member: texts around hubs.
+        """uid, hub, common, united, member: texts around hubs.
 
         A hub is the text whose retained values are most frequent among those that share one of them, if HOT or more do.  Each text is
         compared with one hub a round, so a group of any size takes work in proportion.  Members are linked with their
@@ -174,7 +171,7 @@ class Search:
             hubs = typical.groupBy("anchor").agg(F.max(F.struct("score", "uid")).getField("uid").alias("hub"))
             hubs = materialize(group.select(F.col("uid").alias("hub"), "anchor", "n", "b0", "b1").join(hubs, ["anchor", "hub"]), "hubs")
             pairs = group.alias("x").join(hubs.alias("y"), (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.uid") != F.col("y.hub")) & F.expr(differing("x", "y", str(AROUND))))
-            near = self.exact(self.estimated(pairs.select(F.col("x.uid").alias("a"), F.col("y.hub").alias("b"), "x.n"), str(AROUND), 0.0), rest=True)
+            near = self.exact(self.estimated(pairs.select(F.col("x.uid").alias("a"), F.col("y.hub").alias("b")), str(AROUND), 0.0))
             near = near.where(f"common >= {AROUND} * united").withColumn("member", F.expr(f"100 * common >= {self.percent} * united")).withColumnsRenamed({"a": "uid", "b": "hub"})
             found = near if found is None else found.unionByName(near)
             done = near.where("member").select("uid").union(near.where("member").select("hub"))
@@ -252,20 +249,62 @@ class Search:
             return near.union(stars.select(F.col("uid").alias("a"), F.col("hub").alias("b"))).union(self.inside(groups)).union(self.around(units, stars))
 
     def inside(self, groups: DataFrame) -> DataFrame:
-        """a, b: links of texts that are not their hub's members with others of the same hub.
+        """a, b: links of texts that are not their hub's members with others of the same hub, enough to connect them."""
+        edge = groups.where("not member").select(F.col("hub").alias("a"), "uid")
+        return self.compared(edge, groups.select(F.col("hub").alias("a"), "uid").join(edge.select("a").distinct(), "a", "left_semi"))
 
-        Let x have c values in common with hub h, and be linked with y: their intersection is t / (1 + t) (|x| + |y|) at least.  Values of
-        h give c of them at most; so they share a value that h has not, or |y| <= c (1 + t) / t - |x|.  Both cases are equi-joins.
+    def compared(self, probes: DataFrame, targets: DataFrame) -> DataFrame:
+        """a, b: links between probes (a, uid) and targets (a, uid) of the same a: those of a spanning forest of each pair of blocks.
+
+        Both sides are cut into blocks of about BLOCK values, and each pair of blocks is compared inside a task by its inverted lists: of any
+        number of links no more rows come out than there are texts in the two blocks.
         """
-        t = self.t
-        edge = groups.where("not member").withColumn("small", F.col("common") * ((1 + t) / t) - F.col("n") + 1e-6)
-        values = groups.select("hub", "uid", "n", F.explode("only_a").alias("value"))
-        rare = edge.select("hub", "uid", "n", F.explode("only_a").alias("value"))
-        fit = f"least(x.n, y.n) >= {t} * greatest(x.n, y.n) - 1e-6 and x.uid <> y.uid"
-        shared = rare.alias("x").join(values.alias("y"), F.expr(f"x.hub = y.hub and x.value = y.value and {fit}"))
-        smaller = edge.where(f"small >= {t} * n - 1e-6").alias("x").join(groups.select("hub", "uid", "n").alias("y"), F.expr(f"x.hub = y.hub and y.n <= x.small and {fit}"))
-        pick = lambda df: df.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b"))
-        return self.linked(self.exact(self.estimated(pick(shared).union(pick(smaller)).distinct(), str(t))))
+        percent = self.percent
+        sets = materialize(self.sets(probes.select("uid").union(targets.select("uid"))), "sets")
+
+        def parts(side: DataFrame) -> DataFrame:
+            return side.join(self.units.select("uid", "n"), "uid").groupBy("a").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts"))
+
+        many = materialize(parts(probes).withColumnRenamed("parts", "pp").join(parts(targets).withColumnRenamed("parts", "qq"), "a"), "parts")
+
+        def blocks(side: DataFrame, own: str, other: str, name: str) -> DataFrame:
+            placed = side.join(many, "a").withColumn(own, F.pmod(F.hash("uid"), own)).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+            keyed = placed.join(sets, "uid").select("a", F.col(own).alias(f"k{own}"), F.col("copy").alias(f"k{other}"), F.struct("uid", "set").alias("text"))
+            return keyed.groupBy("a", "kpp", "kqq").agg(F.collect_list("text").alias(name))
+
+        pairs = blocks(probes, "pp", "qq", "p").join(blocks(targets, "qq", "pp", "q"), ["a", "kpp", "kqq"])
+
+        def run(batches):
+            for batch in batches:
+                a, b = [], []
+                for p, q in zip(batch.column("p"), batch.column("q")):
+                    p_uid, q_uid = (x.values.field("uid").to_numpy() for x in (p, q))
+                    p_sets, q_sets = ([y.values.to_numpy() for y in x.values.field("set")] for x in (p, q))
+                    size = np.array(list(map(len, q_sets)))
+                    value = np.concatenate(q_sets)
+                    order = np.argsort(value, kind="stable")
+                    value, owner = value[order], np.repeat(np.arange(len(q_sets)), size)[order]
+                    root = {}
+
+                    def find(u, root=root):
+                        while (up := root.get(u, u)) != u:
+                            root[u] = root.get(up, up)
+                            u = up
+                        return u
+
+                    for uid, s in zip(p_uid.tolist(), p_sets):
+                        low, high = np.searchsorted(value, s), np.searchsorted(value, s, side="right")
+                        many = high - low
+                        at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+                        common = np.bincount(owner[at], minlength=len(q_sets))
+                        for other in q_uid[np.flatnonzero(100 * common >= percent * (size + len(s) - common))].tolist():
+                            if (x := find(uid)) != (y := find(other)):
+                                root[x] = y
+                                a.append(uid)
+                                b.append(other)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        return materialize(pairs.select("p", "q").mapInArrow(run, "a long, b long"), "compared")
 
     def around(self, single: DataFrame, stars: DataFrame) -> DataFrame:
         """a, b: links between stars, and between stars and texts of other groups.
@@ -294,37 +333,7 @@ class Search:
         member = stars.select("hub", "uid").union(hubs.select("uid", "uid"))
         probes = open_.join(member.withColumnsRenamed({"hub": "b", "uid": "m"}), "b", "left").select("a", F.coalesce("m", "b").alias("uid")).distinct()
         targets = open_.select("a").distinct().join(member.withColumnRenamed("hub", "a"), "a")
-        sets = materialize(self.sets(probes.select("uid").union(targets.select("uid"))), "sets")
-
-        def chunked(side: DataFrame, name: str) -> DataFrame:
-            sized = side.join(self.units.select("uid", "n"), "uid")
-            parts = sized.groupBy("a").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
-            placed = sized.join(parts, "a").withColumn("part", F.pmod(F.hash("uid"), "parts").cast("int"))
-            return placed.join(sets, "uid").groupBy("a", "part").agg(F.collect_list(F.struct("uid", "set")).alias(name)).drop("part")
-
-        blocks = chunked(probes, "p").join(chunked(targets, "q"), "a")
-
-        def run(batches):
-            for batch in batches:
-                a, b = [], []
-                for p, q in zip(batch.column("p").to_pylist(), batch.column("q").to_pylist()):
-                    size = np.array([len(x["set"]) for x in q])
-                    value = np.concatenate([np.array(x["set"], np.int64) for x in q])
-                    order = np.argsort(value, kind="stable")
-                    value, owner = value[order], np.repeat(np.arange(len(q)), size)[order]
-                    for x in p:
-                        s = np.array(x["set"], np.int64)
-                        low, high = np.searchsorted(value, s), np.searchsorted(value, s, side="right")
-                        many = high - low
-                        at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-                        common = np.bincount(owner[at], minlength=len(q))
-                        good = [i for i in np.flatnonzero(100 * common >= percent * (size + len(s) - common)) if q[i]["uid"] != x["uid"]]
-                        if good:
-                            a.append(x["uid"])
-                            b.append(q[good[0]]["uid"])
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        return direct.union(materialize(blocks.select("p", "q").mapInArrow(run, "a long, b long"), "across"))
+        return direct.union(self.compared(probes, targets))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K, hot: int = HOT) -> DataFrame:
