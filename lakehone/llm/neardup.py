@@ -15,7 +15,7 @@ from .common import WordHashes, components, interpreted, materialize, rolled, sm
 #: Values that a sketch retains.
 K = 32
 #: Groups of this many texts that share a retained value (the least, then the next) are gathered around their most typical text, with what has this similarity to it.
-HOT, ROUNDS, AROUND = 24, 3, 0.6
+HOT, ROUNDS, AROUND = 24, 2, 0.6
 #: Buckets of the frequencies that order the retained values: a vector of fixed size.
 FREQ = 1 << 18
 #: Shingles of one side of a block that is compared inside a task.
@@ -56,8 +56,18 @@ def bits(s: np.ndarray) -> tuple[int, int]:
     return int(a), int(b)
 
 
+def parities(s: np.ndarray) -> tuple[int, ...]:
+    """256 bits: in each bin of values, whether their number is odd.  Two sets differ in as many values as bits at least."""
+    at = (s.view(np.uint64) >> np.uint64(20) & np.uint64(255)).astype(np.int64)
+    return tuple(np.packbits((np.bincount(at, minlength=256) & 1).astype(np.uint8)).view("<i8").tolist())
+
+
+BITS = ["b0", "b1", "p0", "p1", "p2", "p3"]
+BIT_FIELDS = ", ".join(f"{b} long" for b in BITS)
+
+
 def sketched(docs: DataFrame, words: int, k: int) -> DataFrame:
-    """doc_id, th (hash of the text), sig (128-bit digest of the set), n, b0, b1, sketch."""
+    """doc_id, th (hash of the text), sig (128-bit digest of the set), n, bits and parities, sketch."""
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -65,21 +75,21 @@ def sketched(docs: DataFrame, words: int, k: int) -> DataFrame:
         hashes = WordHashes()
         for batch in batches:
             sets = [shingles(t, words, hashes) for t in batch.column(2).to_pylist()]
-            both = list(map(bits, sets))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(list(map(len, sets)), pa.int64()), pa.array([x for x, _ in both], pa.int64()), pa.array([x for _, x in both], pa.int64()), pa.array([s[:k] for s in sets], pa.list_(pa.int64()))], ["doc_id", "th", "sig", "n", "b0", "b1", "sketch"])
+            own = zip(*(bits(s) + parities(s) for s in sets)) if sets else [()] * len(BITS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(list(map(len, sets)), pa.int64()), *(pa.array(x, pa.int64()) for x in own), pa.array([s[:k] for s in sets], pa.list_(pa.int64()))], ["doc_id", "th", "sig", "n", *BITS, "sketch"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, sig binary, n long, b0 long, b1 long, sketch array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, sig binary, n long, {BIT_FIELDS}, sketch array<long>")
 
 
 def differing(a: str, b: str, t: str) -> str:
-    """SQL: whether two texts a and b may reach similarity t by their sizes and bits.
+    """SQL: whether two texts a and b may reach similarity t by their sizes, parities and bits.
 
-    Sets of similarity t differ in (1 - t) / (1 + t) of the sum of their sizes at most, each in one bin; and a bin
-    differs with probability 1 - t, its bit with half of that.
+    Sets of similarity t differ in (1 - t) / (1 + t) of the sum of their sizes at most, and in as many values as
+    parities at least: that is exact.  A bin's least value differs with probability 1 - t, its bit with half of that.
     """
     p = f"((1 - ({t})) / 2)"
-    hamming = f"(bit_count({a}.b0 ^ {b}.b0) + bit_count({a}.b1 ^ {b}.b1))"
-    return f"least({a}.n, {b}.n) >= ({t}) * greatest({a}.n, {b}.n) - 1e-6 and {hamming} <= (1 - ({t})) / (1 + ({t})) * ({a}.n + {b}.n) + 1e-6 and {hamming} <= 128 * {p} + {SIGMA} * sqrt(128 * {p} * (1 - {p}))"
+    apart = lambda names: "(" + " + ".join(f"bit_count({a}.{x} ^ {b}.{x})" for x in names) + ")"
+    return f"least({a}.n, {b}.n) >= ({t}) * greatest({a}.n, {b}.n) - 1e-6 and {apart(BITS[2:])} <= (1 - ({t})) / (1 + ({t})) * ({a}.n + {b}.n) + 1e-6 and {apart(BITS[:2])} <= 128 * {p} + {SIGMA} * sqrt(128 * {p} * (1 - {p}))"
 
 
 class Search:
@@ -94,19 +104,20 @@ class Search:
         self.spark = docs.sparkSession
         self.rows = materialize(sketched(docs, words, k), "sketches")
         alone = math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 62
-        classes = self.rows.where("n > 0").groupBy("sig").agg(*(F.first(c).alias(c) for c in ("th", "n", "b0", "b1", "sketch")))
+        classes = self.rows.where("n > 0").groupBy("sig").agg(*(F.first(c).alias(c) for c in ("th", "n", *BITS, "sketch")))
         #: Smaller sets than `alone` are similar only if equal.
         self.units = materialize(classes.where(F.col("n") >= alone).withColumn("uid", F.monotonically_increasing_id()), "units")
 
-    def some(self, df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-        """Rows of df whose key is in wanted: without a shuffle of df while wanted is few."""
-        wanted = materialize(wanted.select(key).distinct(), "wanted")
-        return df.join(F.broadcast(wanted) if wanted.count() <= FEW else wanted, key, "left_semi")
+    def some(self, df: DataFrame, wanted: DataFrame, key: str, most: int | None = None) -> DataFrame:
+        """Rows of df whose key is in wanted (of `most` rows at most, if that is known): without a shuffle of df while wanted is few."""
+        wanted = wanted.select(key).distinct()
+        if most is None or most > FEW:
+            wanted = materialize(wanted, "wanted")
+            most = wanted.count()
+        return df.join(F.broadcast(wanted) if most <= FEW else wanted, key, "left_semi")
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """uid, set for wanted (uid), of the whole texts."""
-        known = materialize(self.some(self.units, wanted, "uid").select("uid", "th", "sig"), "known")
-        texts = self.some(self.docs.withColumn("th", F.xxhash64("text")), known, "th").select("text")
+    def hashed(self, texts: DataFrame) -> DataFrame:
+        """sig, set of each distinct set of texts (text)."""
         words = self.words
 
         def run(batches):
@@ -115,28 +126,34 @@ class Search:
                 sets = [shingles(t, words, hashes) for t in dict.fromkeys(batch.column(0).to_pylist())]
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["sig", "set"])
 
-        once = texts.mapInArrow(run, "sig binary, set array<long>").groupBy("sig").agg(F.first("set").alias("set"))
-        return once.join(known.select("uid", "sig"), "sig").select("uid", "set")
+        return texts.mapInArrow(run, "sig binary, set array<long>").groupBy("sig").agg(F.first("set").alias("set"))
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """uid, set for wanted (uid), of the whole texts."""
+        known = materialize(self.some(self.units, wanted, "uid").select("uid", "th", "sig"), "known")
+        texts = self.some(self.docs.withColumn("th", F.xxhash64("text")), known, "th", known.count()).select("text")
+        return self.hashed(texts).join(known.select("uid", "sig"), "sig").select("uid", "set")
 
     def estimated(self, pairs: DataFrame, t: str, sigma: float = SIGMA) -> DataFrame:
-        """Those of pairs (a, b, ...) whose sketch of the union estimates similarity t or more, but for `sigma` deviations."""
+        """Those of pairs (a, b, ...) whose sketch of the union estimates similarity t or more, but for `sigma` deviations; with th and sig of both sides."""
         k = self.k
         pairs = materialize(pairs, "pairs")
-        known = self.some(self.units, pairs.select(F.col("a").alias("uid")).union(pairs.select("b")), "uid").select("uid", "sketch")
-        side = lambda c: known.withColumnsRenamed({"uid": c, "sketch": f"s_{c}"})
+        known = self.some(self.units, pairs.select(F.col("a").alias("uid")).union(pairs.select("b")), "uid", 2 * pairs.count()).select("uid", "sketch", "th", "sig")
+        side = lambda c: known.withColumnsRenamed({"uid": c, "sketch": f"s_{c}", "th": f"th_{c}", "sig": f"sig_{c}"})
         joined = pairs.join(side("a"), "a").join(side("b"), "b")
         union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
         both = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
         wide = F.expr(f"({t}) - {sigma} * sqrt(({t}) * (1 - ({t})) / {k})")
-        return joined.where(both / F.size(union) >= wide).select(pairs.columns)
+        return joined.where(both / F.size(union) >= wide).select(*pairs.columns, "th_a", "th_b", "sig_a", "sig_b")
 
     def exact(self, pairs: DataFrame) -> DataFrame:
-        """pairs (a, b, ...) with common and united, the exact sizes of intersection and union."""
+        """Pairs of estimated() with common and united, the exact sizes of intersection and union."""
         pairs = materialize(pairs, "pairs")
-        sets = self.sets(pairs.select(F.col("a").alias("uid")).union(pairs.select("b")))
-        sets = materialize(sets, "sets")
-        joined = pairs.join(sets.withColumnsRenamed({"uid": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"uid": "b", "set": "set_b"}), "b")
-        names = pairs.columns
+        wanted = pairs.select(F.col("th_a").alias("th")).union(pairs.select("th_b"))
+        texts = self.some(self.docs.withColumn("th", F.xxhash64("text")), wanted, "th", 2 * pairs.count()).select("text")
+        sets = materialize(self.hashed(texts), "sets")
+        joined = pairs.join(sets.withColumnsRenamed({"sig": "sig_a", "set": "set_a"}), "sig_a").join(sets.withColumnsRenamed({"sig": "sig_b", "set": "set_b"}), "sig_b")
+        names = [c for c in pairs.columns if c not in ("th_a", "th_b", "sig_a", "sig_b")]
         fields = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in names) + ", common long, united long"
 
         def run(batches):
@@ -162,14 +179,14 @@ class Search:
         for r in range(ROUNDS):
             keyed = left.where(F.size("sketch") > r).withColumn("anchor", F.get("sketch", F.lit(r)))
             large = keyed.groupBy("anchor").count().where(F.col("count") >= self.hot)
-            group = materialize(self.some(keyed, large, "anchor").select("anchor", "uid", "n", "b0", "b1", "sketch"), "group")
+            group = materialize(self.some(keyed, large, "anchor").select("anchor", "uid", "n", *BITS, "sketch"), "group")
             if group.isEmpty():
                 break
             values = group.select("anchor", "uid", F.explode("sketch").alias("value"))
             often = values.groupBy("anchor", "value").count()
             typical = values.join(often, ["anchor", "value"]).groupBy("anchor", "uid").agg(F.sum("count").alias("score"))
             hubs = typical.groupBy("anchor").agg(F.max(F.struct("score", "uid")).getField("uid").alias("hub"))
-            hubs = materialize(group.select(F.col("uid").alias("hub"), "anchor", "n", "b0", "b1").join(hubs, ["anchor", "hub"]), "hubs")
+            hubs = materialize(group.select(F.col("uid").alias("hub"), "anchor", "n", *BITS).join(hubs, ["anchor", "hub"]), "hubs")
             pairs = group.alias("x").join(hubs.alias("y"), (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.uid") != F.col("y.hub")) & F.expr(differing("x", "y", str(AROUND))))
             near = self.exact(self.estimated(pairs.select(F.col("x.uid").alias("a"), F.col("y.hub").alias("b")), str(AROUND), 0.0))
             near = near.where(f"common >= {AROUND} * united").withColumn("member", F.expr(f"100 * common >= {self.percent} * united")).withColumnsRenamed({"a": "uid", "b": "hub"})
@@ -217,7 +234,7 @@ class Search:
                 there = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["bucket", "n"])
 
-            got = self.units.select("sketch").coalesce(16).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+            got = self.units.select("sketch").coalesce(max(16, self.spark.sparkContext.defaultParallelism)).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
             out = np.zeros(FREQ, np.int64)
             out[got["bucket"].to_numpy()] = got["n"].to_numpy()
             self._freq = self.spark.sparkContext.broadcast(out)
@@ -238,7 +255,7 @@ class Search:
             hubs = groups.where("member").select(F.col("hub").alias("uid")).distinct().withColumn("hub", F.lit(True))
             units = units.join(hubs, "uid", "left").where("hub is null").drop("hub", "member")
             units = materialize(units, "single")
-        lists = self.prefixes(units, lambda row: t, "uid long, n long, b0 long, b1 long, g array<long>")
+        lists = self.prefixes(units, lambda row: t, f"uid long, n long, {BIT_FIELDS}, g array<long>")
         pairs = lists.alias("x").join(lists.alias("y"), F.expr("x.value = y.value and x.uid < y.uid and " + differing("x", "y", str(t)) + " and not arrays_overlap(x.g, y.g)"))
         pairs = pairs.select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct()
         near = self.linked(self.exact(self.estimated(pairs, str(t))))
@@ -318,7 +335,7 @@ class Search:
         hubs = materialize(hubs, "hubs")
         every = single.withColumn("r", F.lit(0.0)).unionByName(hubs)
         most = 1 - t
-        fields = "uid long, n long, b0 long, b1 long, r double, g array<long>"
+        fields = f"uid long, n long, {BIT_FIELDS}, r double, g array<long>"
         probe = materialize(self.prefixes(hubs, lambda row: max(0.01, t - row["r"] - most), fields), "probe")
         lists = self.prefixes(every, None, fields, whole=True)
         reach = f"greatest(0.01, {t} - x.r - y.r)"
