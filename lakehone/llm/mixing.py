@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize
+from .common import WORD, fresh, materialize
 
 BLOCK = 1024
 #: Sources have weights set by hand; more than this many are an error, not a silent cut.
@@ -136,15 +136,22 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents with the columns of docs: a row for each pass in which a document is taken, in whole or (where a quota ends) up to the last word that is taken."""
-    m = mix(docs, **options)
+    m, spark, seed = mix(docs, **options), docs.sparkSession, options.get("seed", 7)
+    # Both sides of the join below stay as the windows have dealt them: texts are shuffled once.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    h, h2, copy, whole, end = (fresh(docs, c) for c in ("h_", "h2_", "copy_", "whole_", "end_"))
     parts = taken(m, ("src", "bucket", "rn", "epoch")).join(m.rows.select("src", "bucket", "rn", "h", "h2", "size"), ["src", "bucket", "rn"])
-    copy = Window.partitionBy("h", "h2")
-    parts = parts.withColumn("copy_", F.dense_rank().over(copy.orderBy("rn"))).select(F.col("h").alias("h_"), F.col("h2").alias("h2_"), "copy_", F.col("taken").alias("taken_"), F.col("size").alias("size_"))
-    seed = options.get("seed", 7)
-    whole = docs.withColumns({"h_": F.xxhash64(F.lit(seed), "doc_id", "text", "source"), "h2_": F.xxhash64(F.lit(seed + 1), "text", "doc_id", "source")})
-    whole = whole.withColumn("copy_", F.row_number().over(Window.partitionBy("h_", "h2_").orderBy("h_")))
-    out = whole.join(parts, ["h_", "h2_", "copy_"])
-    cut = out.where("taken_ < size_")
+    parts = materialize(parts.select(F.col("h").alias(h), F.col("h2").alias(h2), "rn", "taken", "size"), "passes")
+    keyed = docs.withColumns({h: F.xxhash64(F.lit(seed), "doc_id", "text", "source"), h2: F.xxhash64(F.lit(seed + 1), "text", "doc_id", "source")})
+    row = Window.partitionBy(h, h2)
+    full = parts.groupBy(h, h2, "rn").agg(F.count_if(F.col("taken") == F.col("size")).cast("int").alias(whole))
+    full = full.withColumn(copy, F.row_number().over(row.orderBy("rn"))).where(F.col(whole) > 0).drop("rn")
+    out = keyed.withColumn(copy, F.row_number().over(row.orderBy(h))).join(full, [h, h2, copy])
+    out = out.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(whole)))).select(docs.columns)
+
+    # A quota ends in one document of a source at most.
+    ends = parts.where("taken < size").select(h, h2, F.col("rn").alias(copy), F.col("taken").alias(end))
+    cut = keyed.join(F.broadcast(ends), [h, h2]).dropDuplicates([h, h2, copy])
 
     @F.pandas_udf("string")
     def head(texts, words):
@@ -158,7 +165,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
         return texts.combine(words, first)
 
-    cut = cut.withColumn("text", head("text", "taken_"))
+    cut = cut.withColumn("text", head("text", end))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.where("taken_ = size_").select(docs.columns).unionByName(cut.select(docs.columns))
+    return out.unionByName(cut.select(docs.columns))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, interpreted, materialize, rolled, small_batches
+from .common import WordHashes, components, fresh, interpreted, materialize, rolled, small_batches
 
 #: Values that a sketch retains.
 K = 32
@@ -378,11 +378,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """docs (its columns and rows as they are) without near-duplicates: one row of each component; rows that repeat stay once."""
     found = near_duplicates(docs, **options).where("kept")
+    own, th, copies, blank = (fresh(docs, c) for c in ("id_", "th_", "copies_", "blank_"))
     # Of a component without any doc_id one text stays, that of the least hash; n_shingles = 0 are no duplicates of each other.
-    rows = found.groupBy("doc_id", "th", "n_shingles").agg(F.count("*").alias("copies_"), F.first("component_id").alias("component_id"))
-    rows = materialize(rows.select(F.col("doc_id").alias("id_"), F.col("th").alias("th_"), "copies_", (F.col("n_shingles") == 0).alias("blank_")), "kept")
-    keyed = docs.withColumn("th_", F.xxhash64("text"))
-    joined = keyed.join(rows, keyed["doc_id"].eqNullSafe(rows["id_"]) & (keyed["th_"] == rows["th_"]))
-    joined = joined.select(*(keyed[c] for c in docs.columns), "copies_", "blank_")
-    once = joined.where("copies_ = 1 or blank_").select(docs.columns)
-    return once.unionByName(joined.where("copies_ > 1 and not blank_").select(docs.columns).dropDuplicates(["doc_id", "text"]))
+    rows = found.groupBy("doc_id", "th", "n_shingles").agg(F.count("*").alias(copies))
+    rows = materialize(rows.select(F.col("doc_id").alias(own), F.col("th").alias(th), copies, (F.col("n_shingles") == 0).alias(blank)), "kept")
+    keyed = docs.withColumn(th, F.xxhash64("text"))
+    pick = lambda r: keyed.join(r, keyed["doc_id"].eqNullSafe(r[own]) & (keyed[th] == r[th])).select(*(keyed[c] for c in docs.columns))
+    alone = (F.col(copies) == 1) | F.col(blank)
+    again = rows.where(~alone)
+    again = F.broadcast(again) if again.count() <= FEW else again
+    return pick(rows.where(alone)).unionByName(pick(again).dropDuplicates(["doc_id", "text"]))

@@ -39,7 +39,7 @@ def docs(spark, sf):
 @pytest.fixture(scope="module")
 def odd(spark):
     """Rows with nulls, blanks, repeats, a long text, and more columns with names that operators use themselves."""
-    more = {c: F.lit(1) for c in ("h", "size", "sig", "th", "n", "bucket", "plain", "kept", "score", "word", "ids", "shard", "block")}
+    more = {c: F.lit(1) for c in ("h", "h_", "copy_", "th_", "size", "sig", "th", "n", "bucket", "plain", "kept", "score", "word", "ids", "shard", "block")}
     return spark.createDataFrame(ODD, SCHEMA).withColumns(more)
 
 
