@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import ann, bpe, htmltext, langid, license_scan, mixing, neardup, quality, secretscan, tokenio
 from .common import table, work_dir
+from .oracles import ORACLES
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,5 +76,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mix, op2_minhash_neardup, op3_license_scan, op4_language_id, op5_nearest_neighbours, op6_bpe_round_trip, op7_html_text, op8_quality_rules, op9_secret_scan, op10_token_files, pipeline)}
 
-#: In DuckDB's own regular expressions (RE2) bytes of several-byte characters are characters, as in Spark.
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

@@ -428,3 +428,18 @@ def test_pipeline(spark, sf, docs):
         ids, text = reference_ids(r.text)
         want[r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()] += 1
     assert collections.Counter(zip(out.doc_id, out.n_tokens, out.ids_sha256, out.decoded_sha256)) == want
+
+
+# SQL
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_same_as_sql(spark, sf, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{sf}/documents.parquet'")
+    df, sql = queries.QUERIES[name](spark, sf), con.sql(queries.ORACLES[name])
+    assert sorted(df.columns) == sorted(sql.columns)
+    own = collections.Counter(tuple(r[c] for c in sql.columns) for r in df.collect())
+    assert own == collections.Counter(sql.fetchall())
