@@ -18,6 +18,8 @@ MAX_SOURCES = 1_000_000
 #: Buckets of the shuffled order of a source: prefix sums go bucket by bucket.
 BUCKET_BITS = 10
 CHUNK = 1 << 16
+#: Rows that count the slots of sources in chunks: at most this many are broadcast.
+FEW = 2_000_000
 
 
 class Mix(NamedTuple):
@@ -103,6 +105,7 @@ def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, block: int
 
     counts = grid.mapInArrow(in_chunks(True), "src int, chunk long, n long")
     base = counts.select("src", "chunk", (F.sum("n").over(Window.partitionBy("src").orderBy("chunk")) - F.col("n")).alias("base"))
+    base = F.broadcast(base) if chunks * len(found) <= FEW else base.hint("merge")
     planned = grid.mapInArrow(in_chunks(False), "slot long, src int, chunk long, rank long").join(base, ["src", "chunk"])
     planned = planned.select("slot", "src", (F.col("rank") + F.col("base")).alias("block")).join(sources.select("src", "need"), "src").where("block < need").drop("need")
     owed = sources.select("src", "need").join(counts.groupBy("src").agg(F.sum("n").alias("got")), "src", "left").withColumn("got", F.coalesce("got", F.lit(0))).where("got < need")
@@ -119,7 +122,8 @@ def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, block: int
 
 def scheduled(m: Mix) -> DataFrame:
     """slot, src, bucket, rn, epoch, words: the schedule joined with the blocks."""
-    return m.segments.join(m.slots, ["src", "block"])
+    # Spark takes the schedule for as small as its range of chunks and would broadcast it; it grows with the words.
+    return m.segments.join(m.slots.hint("merge"), ["src", "block"])
 
 
 def taken(m: Mix, by: tuple = ("src", "bucket", "rn")) -> DataFrame:
