@@ -14,18 +14,19 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Sentences by which common licenses are known; a block of text holds one if it has this share of its distinct words.
+#: Short notices have four distinct words at most, all of which a block must hold at a threshold of 0.8: with more, the name of the license could be the missing one.
 TEMPLATES = {
-    "mit": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"],
-    "apache-2.0": ["licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"],
-    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
+    "mit": ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "under the mit license"],
+    "apache-2.0": ["licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "apache license version 2", "apache license 2 0", "under the apache license"],
+    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "under the bsd license", "bsd 2 clause license", "bsd 3 clause license"],
     "gpl": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "licensed under the gnu general public license version 3"],
-    "lgpl": ["you can redistribute this library and or modify it under the terms of the gnu lesser general public license"],
-    "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
-    "cc-by": ["this work is licensed under a creative commons attribution 4 0 international license", "licensed under the creative commons attribution license cc by 4 0"],
-    "cc-by-sa": ["this work is licensed under a creative commons attribution sharealike 4 0 international license"],
-    "cc0": ["to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"],
-    "isc": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"],
-    "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "lgpl": ["you can redistribute this library and or modify it under the terms of the gnu lesser general public license", "lesser general public license", "under the lgpl"],
+    "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license 2"],
+    "cc-by": ["this work is licensed under a creative commons attribution 4 0 international license", "licensed under the creative commons attribution license cc by 4 0", "creative commons attribution license", "creative commons attribution 4"],
+    "cc-by-sa": ["this work is licensed under a creative commons attribution sharealike 4 0 international license", "creative commons attribution sharealike"],
+    "cc0": ["to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "cc0 1 0 universal", "released under cc0", "licensed under cc0"],
+    "isc": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "under the isc license"],
+    "unlicense": ["this is free and unencumbered software released into the public domain", "under the unlicense"],
     "reserved": ["copyright all rights reserved no part of this publication may be reproduced without written permission"],
 }
 THRESHOLD = 0.8

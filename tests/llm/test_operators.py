@@ -210,6 +210,17 @@ def test_license_scan(spark, docs, odd, empty):
     assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
 
 
+def labels_of(spark, texts):
+    rows = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [r.labels for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_license_notices(spark):
+    texts = {"Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache-2.0", "# Apache License 2.0": "apache-2.0", "Use is under the BSD license": "bsd", "GNU Lesser General Public License": "gpl,lgpl", "Mozilla Public License, v. 2.0": "mpl-2.0", "under the ISC license": "isc"}
+    texts |= {"Released under the license.": "", "Licensed under the Unknown License, Version 2.0.": "", "licensed under the Mozilla Public License Version 2.0": "mpl-2.0", "mit der Version 2.0": ""}
+    assert labels_of(spark, texts) == list(texts.values())
+
+
 # 4
 
 
