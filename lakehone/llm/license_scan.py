@@ -48,8 +48,10 @@ def _rank_map(ranks: dict[str, int]) -> Column:
 def scan(docs: DataFrame, phrases: dict = PHRASES, templates: dict = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row of docs (doc_id, text).
 
-    Base: each place where a phrase's words stand one after the other, in any line.  Blocks are the lines of a text: a block meets
-    a template if it holds at least `threshold` of the template's distinct words.  Words of templates are ranked by the number of
+    Base: each place where a phrase's words stand one after the other, in any line.  Blocks are the lines of a text and, because license
+    texts are often wrapped, overlapping windows of words across line feeds, twice as long as the longest template and so dealt that each run of
+    as many words is whole in one: a block meets a template if it holds at least `threshold` of the template's distinct words.  Templates
+    of which all words are needed are too short for windows; across line feeds, their words must stand one after the other.  Words of templates are ranked by the number of
     documents that hold them, rare first.  A block can meet a template only if it holds one of the template's first
     (|T| - need + 1) words (prefix), has `need` template words at all (length), and has enough of them left from
     the first shared word on (position); those are verified.  score: the greatest share of a template in a block, 1 with a base place.
@@ -70,6 +72,10 @@ def scan(docs: DataFrame, phrases: dict = PHRASES, templates: dict = TEMPLATES,
     rank = {w: i for i, w in enumerate(order)}
     ranked = [sorted(rank[w] for w in s) for _, s in sets]
     prefix = sorted({order[r] for s, n in zip(ranked, need) for r in s[: len(s) - n + 1]})
+    texts = [t for many in templates.values() for t in many]
+    long = [n < len(s) for s, n in zip(ranked, need)]
+    wide = sorted({r for s, n, x in zip(ranked, need, long) if x for r in s[: len(s) - n + 1]})
+    stride = max(len(t.split()) for t in texts)
 
     spaced = F.concat(F.lit(" "), F.col("plain"), F.lit(" "))
     base = docs.select("doc_id", words_of(F.col("text")).alias("norm")).withColumn("plain", F.trim(F.regexp_replace(F.translate("norm", "\n", " "), " +", " ")))
@@ -93,7 +99,14 @@ def scan(docs: DataFrame, phrases: dict = PHRASES, templates: dict = TEMPLATES,
         return F.array_sort(F.transform(F.array_intersect(F.split(line, " "), F.array(*map(F.lit, vocabulary))), lambda w: ranks[w]))
 
     lines = F.filter(F.transform(F.filter(F.split("norm", "\n"), lambda x: F.concat(F.lit(" "), x, F.lit(" ")).rlike(" (" + "|".join(prefix) + ") ")), ranked_words), lambda a: F.size(a) >= least)
-    first = base.select("doc_id", n_words.cast("long").alias("n_words"), *(places(p).alias(f"p{i}") for i, p in enumerate(phrases)), F.when(maybe, lines).otherwise(F.array().cast("array<array<int>>")).alias("blocks"))
+    # Windows are marked by the rank -1, with which no short template is compared.
+    words = F.split("plain", " ")
+    windows = F.transform(F.sequence(F.lit(1), F.size(words), F.lit(stride)), lambda i: ranked_words(F.array_join(F.slice(words, i, 2 * stride), " ")))
+    windows = F.filter(windows, lambda a: (F.size(a) >= min((n for n, x in zip(need, long) if x), default=0)) & F.arrays_overlap(a, F.array(*map(F.lit, wide)).cast("array<int>")))
+    wrapped = F.trim("norm").contains("\n") & spaced.rlike(" (" + "|".join(order[r] for r in wide) + ") ") if wide else F.lit(False)
+    lines = F.concat(lines, F.when(wrapped, F.transform(windows, lambda a: F.array_prepend(a, F.lit(-1)))).otherwise(F.array().cast("array<array<int>>")))
+    notices = F.array_compact(F.array(*(F.when(spaced.contains(f" {t} "), label) for (label, _), t, x in zip(sets, texts, long) if not x)).cast("array<string>"))
+    first = base.select("doc_id", F.when(maybe, notices).otherwise(F.array().cast("array<string>")).alias("notices"), n_words.cast("long").alias("n_words"), *(places(p).alias(f"p{i}") for i, p in enumerate(phrases)), F.when(maybe, lines).otherwise(F.array().cast("array<array<int>>")).alias("blocks"))
     first = materialize(first, "license")
 
     # The join proper: distinct blocks by their words, so that copies are compared once.
@@ -101,13 +114,13 @@ def scan(docs: DataFrame, phrases: dict = PHRASES, templates: dict = TEMPLATES,
     blocks = first.select(F.explode("blocks").alias("block")).distinct()
     probes = blocks.select("block", F.posexplode("block").alias("pos", "word"))
     pairs = probes.join(F.broadcast(small), "word")
-    pairs = pairs.where("size(block) >= need and least(size - at, size(block) - pos) + least(at, pos) >= need")
+    pairs = pairs.where("(need < size or block[0] >= 0) and size(block) >= need and least(size - at, size(block) - pos) + least(at, pos) >= need")
     pairs = pairs.select("block", "template", "label", "all", "need", "size").dropDuplicates(["block", "template"])
     met = pairs.withColumn("common", F.size(F.array_intersect("block", "all"))).where("common >= need")
     met = met.groupBy("block").agg(F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("size")).alias("share"))
 
     # Blocks that met a template are few by their distinct words, but their number is not bounded: they are joined, not collected.
-    keyed = first.select("doc_id", "n_words", *(f"p{i}" for i in range(len(phrases))), F.array_distinct("blocks").alias("blocks"))
+    keyed = first.select("doc_id", "n_words", "notices", *(f"p{i}" for i in range(len(phrases))), F.array_distinct("blocks").alias("blocks"))
     none = keyed.where("size(blocks) = 0").withColumns({"found": F.array().cast("array<string>"), "share": F.lit(0.0)}).drop("blocks")
     some = keyed.where("size(blocks) > 0").withColumn("row", F.monotonically_increasing_id())
     some = materialize(some, "blocks")
@@ -125,6 +138,6 @@ def scan(docs: DataFrame, phrases: dict = PHRASES, templates: dict = TEMPLATES,
         F.array_min(every).cast("long").alias("first_word"),
         F.array_max(every).cast("long").alias("last_word"),
         text(own).alias("base_labels"),
-        text(F.concat(own, "found")).alias("labels"),
-        F.when(F.size(every) > 0, 1.0).otherwise(F.col("share")).alias("score"),
+        text(F.concat(own, "notices", "found")).alias("labels"),
+        F.when((F.size(every) > 0) | (F.size("notices") > 0), 1.0).otherwise(F.col("share")).alias("score"),
     )

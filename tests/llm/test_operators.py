@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -221,6 +222,17 @@ def test_license_notices(spark):
     assert labels_of(spark, texts) == list(texts.values())
 
 
+def test_license_wrapped(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    notice = "This file is released under the MIT\n// License. See the file LICENSE."
+    filler = " ".join(f"w{i}" for i in range(100))
+    wrap = lambda t, mark, width: "\n".join(mark + x for x in textwrap.wrap(t, width))
+    texts = [wrap(mit, " * ", 40), wrap(bsd, "# ", 30), notice, *(f"{' '.join(filler.split()[:n])}\n{wrap(t, '# ', 30)}\n{filler}" for n in (1, 17, 29, 30, 31, 59, 90) for t in (mit, bsd))]
+    texts += [f"mit\n{filler}\nunder the license", "nothing\nof that", wrap(bsd[:60], "", 20)]
+    assert labels_of(spark, texts) == ["mit", "bsd", "mit", *["mit", "bsd"] * 7, "", "", ""]
+
+
 # 4
 
 
