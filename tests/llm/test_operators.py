@@ -429,6 +429,28 @@ def test_secrets(spark, docs, odd, empty):
         assert {(m.start(), m.end()) for m in plan.finditer(r.text or "")} <= {x[:2] for x in f if x[3] >= 0.5}
 
 
+def test_long_secrets():
+    forest = secretscan.train()
+    rng = np.random.default_rng(4)
+    draw = lambda n, more="": "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + more), n))
+    for n in (257, 300, 400, 5000):
+        for more in ("", "+/", "!#%^*"):
+            v = draw(n, more)
+            cases = [(f"aws_session_token = {v} end", "aws_session_token = [SECRET:assigned] end"), (f'x password="{v}", y', 'x password="[SECRET:assigned]", y')]
+            u = v.replace("/", "_")
+            cases += [(f"postgres://user:{u}@db.example.com/x", "postgres://user:[SECRET:url]@db.example.com/x"), (f"postgres://{draw(n)}:{u}@db", None)]
+            for text, want in cases:
+                (found,) = secretscan.findings([text], forest)
+                got = secretscan.redact(text, found, 0.5)
+                assert got == want or want is None and u not in got and u[-16:] not in got
+    # What follows in the same value keeps its own finding.
+    a, key = draw(300), "AKIA" + draw(16).upper()
+    text = f"token={a}&password={draw(20)} and secret={draw(260)}!{key} end"
+    (found,) = secretscan.findings([text], forest)
+    got = secretscan.redact(text, found, 0.5)
+    assert got.count("[SECRET:") == 4 and a[-20:] not in got and key not in got
+
+
 # pipeline
 
 
