@@ -451,6 +451,12 @@ def test_long_secrets():
     assert got.count("[SECRET:") == 4 and a[-20:] not in got and key not in got
 
 
+def test_secret_prefilters():
+    for text, value, kind in (("the PASSWORD IS Xy7kQ9vL today", "Xy7kQ9vL", "assigned"), ("password is\nXy7kQ9vL", "Xy7kQ9vL", "assigned"), ("token Is\tXy7kQ9vL", "Xy7kQ9vL", "assigned"), ("use beaREr Xy7kQ9vLm2Rt", "Xy7kQ9vLm2Rt", "bearer")):
+        assert [(text[s:e], k) for s, e, k in secretscan.candidates(text)] == [(value, kind)]
+        assert (value, kind) in [(x[s:e], k) for x in [text + " : "] for s, e, k in secretscan.candidates(x)]
+
+
 # pipeline
 
 
