@@ -33,12 +33,23 @@ def plain(text: str) -> str:
 
 
 def fuzzy(prediction: str, references: list[str], least: float = 0.85) -> float:
-    """1 if the prediction, or a part as long as the reference, is alike to a reference."""
+    """1 if the prediction, or a part as long as the reference, is alike to a reference.
+
+    The characters that match are a common subsequence, so a part whose longest one is too short is not compared; with each step of
+    the part that one grows by one character at most, so as many steps are passed over as are missing.
+    """
     p = plain(prediction)
     for r in filter(None, map(plain, references)) if p else ():
-        parts = (p, *(p[i : i + len(r)] for i in range(max(1, len(p) - len(r) + 1))))
-        if any(SequenceMatcher(None, r, x).ratio() >= least for x in parts):
+        places = positions(r)
+        if 2 * common_length(places, p) >= least * (len(r) + len(p)) - 1e-6 and SequenceMatcher(None, r, p).ratio() >= least:
             return 1.0
+        i, last = 0, max(0, len(p) - len(r))
+        while i <= last:
+            x = p[i : i + len(r)]
+            missing = math.ceil(least * (len(r) + len(x)) / 2 - 1e-6) - common_length(places, x)
+            if missing <= 0 and SequenceMatcher(None, r, x).ratio() >= least:
+                return 1.0
+            i += max(1, missing)
     return 0.0
 
 
@@ -65,13 +76,27 @@ def f1(common: int, a: int, b: int) -> float:
     return 2 * common / (a + b) if common else 0.0
 
 
+def positions(a) -> dict:
+    """The places of each element of a, as bits."""
+    out = {}
+    for i, x in enumerate(a):
+        out[x] = out.get(x, 0) | 1 << i
+    return out
+
+
+def common_length(places: dict, b) -> int:
+    """Length of the longest common subsequence with b of the sequence of these places, a row at a time as bits (Hyyrö)."""
+    full = (1 << max((m.bit_length() for m in places.values()), default=0)) - 1
+    row = full
+    for y in b:
+        if m := places.get(y):
+            both = row & m
+            row = (row + both | row - both) & full
+    return full.bit_count() - row.bit_count()
+
+
 def common_subsequence(a: list[str], b: list[str]) -> int:
-    row = [0] * (len(b) + 1)
-    for x in a:
-        corner = 0
-        for j, y in enumerate(b, 1):
-            corner, row[j] = row[j], corner + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
+    return common_length(positions(a), b)
 
 
 def rouge(prediction: str, references: list[str]) -> dict[str, float]:

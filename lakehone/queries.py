@@ -215,6 +215,15 @@ def cer_pairs(spark, sf):
     return rows.select("conv_id", "turn", F.round(metrics.character_errors(F.col("text"), F.col("prev")), 6).alias("cer")).where("cer is not null")
 
 
+@query()
+def cer_turns(spark, sf):
+    """Character errors of each whole turn against the whole turn before; cer_pairs has what its SQL can count, edits in the bytes of prefixes."""
+    from pyspark.sql import Window
+
+    turns = read(spark, sf, "conversations").withColumn("prev", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")))
+    return turns.select("conv_id", "turn", F.round(metrics.character_errors(F.col("text"), F.col("prev")), 6).alias("cer")).where("cer is not null")
+
+
 @query("""select event_type, count(*) as n, count(*) filter (where json_valid(props)) as valid, count(distinct json_extract_string(props, '$.page')) as pages from events group by event_type""")
 def json_props_validation(spark, sf):
     events = read(spark, sf, "events").withColumn("v", F.try_parse_json("props"))
@@ -229,12 +238,12 @@ def judge_score_rollup(spark, sf):
 
 @query()
 def answer_metrics(spark, sf):
-    """BLEU, ROUGE, fuzzy accuracy and word errors of each assistant turn against the turn before; tests hold them against known values."""
+    """BLEU, ROUGE, fuzzy accuracy and word errors of each whole assistant turn against the whole turn before; tests hold them against known values."""
     from pyspark.sql import Window
 
     turns = read(spark, sf, "conversations").withColumn("before", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")))
     rows = turns.where("role = 'assistant' and before is not null")
-    return rows.select("conv_id", "turn", metrics.scored(F.substring("text", 1, 300), F.array(F.substring("before", 1, 300))).alias("s")).select("conv_id", "turn", "s.*")
+    return rows.select("conv_id", "turn", metrics.scored("text", F.array("before")).alias("s")).select("conv_id", "turn", "s.*")
 
 
 @query()

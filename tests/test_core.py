@@ -7,6 +7,7 @@ import random
 import tarfile
 import zipfile
 from decimal import Decimal
+from difflib import SequenceMatcher
 
 import duckdb
 import pytest
@@ -296,3 +297,32 @@ def test_udfs(spark, sf):
     assert [(r.c, r.p) for r in got] == [("A", []), (None, ["invalid_tools", "invalid_messages"])]
     assert queries.answer_metrics(spark, sf).where("rouge1 between 0 and 1").count() == queries.answer_metrics(spark, sf).count() > 0
     assert queries.overlap_keys(spark, sf).count() == 200
+
+
+def test_whole_turns(spark, tmp_path):
+    same = " ".join(f"word{i}" for i in range(60))
+    turns = [(1, 0, "user", same + " é then one ending"), (1, 1, "assistant", same + " è and quite another tail of it"), (2, 0, "user", "short é"), (2, 1, "assistant", "short è"), (2, 2, "user", ""), (2, 3, "assistant", "after nothing"), (3, 0, "user", None), (3, 1, "assistant", "first")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    pairs = [(c, t, y, x) for (c0, _, _, x), (c, t, _, y) in zip(turns, turns[1:]) if c0 == c and x is not None]
+    got = {(r.conv_id, r.turn): r.cer for r in queries.cer_turns(spark, str(tmp_path)).collect()}
+    assert got == {(c, t): round(metrics.edits(y, x) / len(x), 6) for c, t, y, x in pairs if x and y}
+    assert got[1, 1] > 0 and got[2, 1] == round(1 / 7, 6)
+    rows = {(r.conv_id, r.turn): r for r in queries.answer_metrics(spark, str(tmp_path)).collect()}
+    assert rows.keys() == {(1, 1), (2, 1), (2, 3)}
+    for c, t, y, x in pairs:
+        if r := rows.get((c, t)):
+            assert (r.bleu, r.rouge1, r.rouge2, r.rougeL, r.accuracy) == (metrics.bleu(y, [x]), *metrics.rouge(y, [x]).values(), metrics.fuzzy(y, [x])) and r.wer == metrics.word_errors(y, x)
+    assert rows[1, 1].wer == 7 / 64
+
+
+def test_fuzzy_parts():
+    """Parts that are passed over are not alike: the same as when every part is compared."""
+    def brute(p, r):
+        parts = (p, *(p[i : i + len(r)] for i in range(max(1, len(p) - len(r) + 1))))
+        return float(any(SequenceMatcher(None, r, x).ratio() >= 0.85 for x in parts))
+
+    rnd = random.Random(2)
+    for _ in range(400):
+        r = "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 50)))
+        p = "".join(rnd.choice("abuv") for _ in range(rnd.randint(0, 40))) + "".join(c if rnd.random() < 0.88 else rnd.choice("axy") for c in r) + "z" * rnd.randint(0, 9)
+        assert metrics.fuzzy(p, [r]) == brute(p, r)
