@@ -8,7 +8,7 @@ import uuid
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch: long texts make large batches otherwise.
@@ -28,6 +28,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def hashable(df: DataFrame) -> list[Column]:
+    """All columns, in a form that Spark can hash: those with maps as JSON."""
+    return [F.to_json(F.struct(df[f.name])) if "map<" in f.dataType.simpleString() else df[f.name] for f in df.schema.fields]
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 

@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
-import re
+import math
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, fresh, materialize
+from .common import WORD, fresh, hashable, materialize
 
 BLOCK = 1024
 #: Sources have weights set by hand; more than this many are an error, not a silent cut.
 MAX_SOURCES = 1_000_000
-#: Buckets of the shuffled order of a source: prefix sums go bucket by bucket.
-BUCKET_BITS = 10
+#: Rows of a bucket of a source's shuffled order, about: prefix sums go bucket by bucket.
+BUCKET = 1 << 14
 CHUNK = 1 << 16
+#: Passes of one content that a task joins, at most.
+SLICE = 4096
 #: Rows that count the slots of sources in chunks: at most this many are broadcast.
 FEW = 2_000_000
 
 
 class Mix(NamedTuple):
-    rows: DataFrame  #: doc_id, h, h2, src, bucket, rn, size, source_size, target, quota, start: a row for each document
+    rows: DataFrame  #: doc_id, h, h2, h3, src, bucket, rn, size, source_size, target, quota, start: a row for each document
     slots: DataFrame  #: slot, src, block: the schedule
-    segments: DataFrame  #: src, bucket, rn, epoch, block, words: words of a document in a block of its source
+    segments: DataFrame  #: src, bucket, rn, epoch, block, p, words: words of a document in a block of its source, and the pass's place in its stream
 
 
 def fill(sizes: list[int], weights: list[float], share: float, most: float = 2.0) -> list[float]:
@@ -34,10 +36,10 @@ def fill(sizes: list[int], weights: list[float], share: float, most: float = 2.0
     total = share * sum(sizes)
     while left:
         unit = (total - sum(most * sizes[i] for i in range(len(sizes)) if out[i])) / sum(weights[i] for i in left)
-        over = [i for i in left if weights[i] * unit > most * sizes[i]]
+        over = {i for i in left if weights[i] * unit > most * sizes[i]}
         for i in over or left:
             out[i] = most * sizes[i] if over else weights[i] * unit
-        left = [i for i in left if i not in set(over)] if over else []
+        left = [i for i in left if i not in over] if over else []
     return out
 
 
@@ -48,6 +50,11 @@ def schedule(first: int, n: int, cumulative: np.ndarray) -> np.ndarray:
     return np.minimum(np.searchsorted(cumulative, points, side="right"), len(cumulative) - 1)
 
 
+def keys(docs: DataFrame, seed: int, *names: str) -> list[Column]:
+    """Hashes that order a source's rows: two of doc_id, text and source, and one of all columns, so that rows that agree in all three are equal."""
+    return [F.xxhash64(F.lit(seed), "doc_id", "text", "source").alias(names[0]), F.xxhash64(F.lit(seed + 1), "text", "doc_id", "source").alias(names[1]), F.xxhash64(F.lit(seed + 2), *hashable(docs)).alias(names[2])]
+
+
 def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, block: int = BLOCK, seed: int = 7) -> Mix:
     """Plans a mix of `share` times all words of docs (doc_id, text, source).
 
@@ -62,22 +69,22 @@ def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, block: int
     """
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    h = F.xxhash64(F.lit(seed), "doc_id", "text", "source")
-    sized = materialize(docs.select("doc_id", "source", size.alias("size"), h.alias("h"), F.xxhash64(F.lit(seed + 1), "text", "doc_id", "source").alias("h2"), F.shiftrightunsigned(h, 64 - BUCKET_BITS).alias("bucket")), "sized")
-    found = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
+    sized = materialize(docs.select("doc_id", "source", size.alias("size"), *keys(docs, seed, "h", "h2", "h3")), "sized")
+    found = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
+    bits = max(1, min(30, math.ceil(math.log2(max((r.rows for r in found), default=1) / BUCKET + 1))))
     found.sort(key=lambda r: (r.source is None, r.source or ""))
     sizes = [int(r.n) for r in found]
     targets = fill(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share)
     quotas = [int(t) for t in targets]
     need = [-(-q // block) for q in quotas]
     sources = F.broadcast(spark.createDataFrame([(r.source, i, s, t, q, k) for i, (r, s, t, q, k) in enumerate(zip(found, sizes, targets, quotas, need))], "name string, src int, source_size long, target double, quota long, need long"))
-    known = sized.join(sources, F.col("source").eqNullSafe(F.col("name"))).drop("source", "name", "need")
+    known = sized.withColumn("bucket", F.shiftrightunsigned("h", 64 - bits)).join(sources, F.col("source").eqNullSafe(F.col("name"))).drop("source", "name", "need")
 
     sums = known.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
     before = sums.select("src", "bucket", (F.sum("words").over(Window.partitionBy("src").orderBy("bucket")) - F.col("words")).alias("before"))
-    inside = Window.partitionBy("src", "bucket").orderBy("h", "h2", "doc_id", "size")
+    inside = Window.partitionBy("src", "bucket").orderBy("h", "h2", "h3", "doc_id", "size")
     rows = known.select("*", F.row_number().over(inside).alias("rn"), (F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("within"))
     rows = materialize(rows.join(before, ["src", "bucket"]).withColumn("start", F.col("before") + F.col("within")).drop("before", "within"), "placed")
 
@@ -117,11 +124,11 @@ def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, block: int
     passes = passes.select("*", "e.epoch", "e.p", F.least(F.expr("e.p + size"), "quota").alias("q")).where("p < q").drop("e")
     blocks = passes.select("*", F.explode(F.sequence(F.expr(f"p div {block}"), F.expr(f"(q - 1) div {block}"))).alias("block"))
     words = F.least("q", (F.col("block") + 1) * block) - F.greatest("p", F.col("block") * block)
-    return Mix(rows, slots, blocks.select("src", "bucket", "rn", "epoch", "block", words.alias("words")))
+    return Mix(rows, slots, blocks.select("src", "bucket", "rn", "epoch", "block", "p", words.alias("words")))
 
 
 def scheduled(m: Mix) -> DataFrame:
-    """slot, src, bucket, rn, epoch, words: the schedule joined with the blocks."""
+    """slot, src, bucket, rn, epoch, p, words: the schedule joined with the blocks."""
     # Spark takes the schedule for as small as its range of chunks and would broadcast it; it grows with the words.
     return m.segments.join(m.slots.hint("merge"), ["src", "block"])
 
@@ -139,37 +146,43 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as documents with the columns of docs: a row for each pass in which a document is taken, in whole or (where a quota ends) up to the last word that is taken."""
-    m, spark, seed = mix(docs, **options), docs.sparkSession, options.get("seed", 7)
-    # Both sides of the join below stay as the windows have dealt them: texts are shuffled once.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    h, h2, copy, whole, end = (fresh(docs, c) for c in ("h_", "h2_", "copy_", "whole_", "end_"))
-    parts = taken(m, ("src", "bucket", "rn", "epoch")).join(m.rows.select("src", "bucket", "rn", "h", "h2", "size"), ["src", "bucket", "rn"])
-    parts = materialize(parts.select(F.col("h").alias(h), F.col("h2").alias(h2), "rn", "taken", "size"), "passes")
-    keyed = docs.withColumns({h: F.xxhash64(F.lit(seed), "doc_id", "text", "source"), h2: F.xxhash64(F.lit(seed + 1), "text", "doc_id", "source")})
-    row = Window.partitionBy(h, h2)
-    full = parts.groupBy(h, h2, "rn").agg(F.count_if(F.col("taken") == F.col("size")).cast("int").alias(whole))
-    full = full.withColumn(copy, F.row_number().over(row.orderBy("rn"))).where(F.col(whole) > 0).drop("rn")
-    out = keyed.withColumn(copy, F.row_number().over(row.orderBy(h))).join(full, [h, h2, copy])
-    out = out.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(whole)))).select(docs.columns)
-
-    # A quota ends in one document of a source at most.
-    ends = parts.where("taken < size").select(h, h2, F.col("rn").alias(copy), F.col("taken").alias(end))
-    cut = keyed.join(F.broadcast(ends), [h, h2]).dropDuplicates([h, h2, copy])
-
-    @F.pandas_udf("string")
-    def head(texts, words):
-        def first(text: str, n: int) -> str:
-            end = 0
-            for k, found in enumerate(re.finditer(WORD, text), 1):
-                end = found.end()
-                if k == n:
-                    break
-            return text[:end]
-
-        return texts.combine(words, first)
-
-    cut = cut.withColumn("text", head("text", end))
+    """The mix as documents with the columns of docs: a row for each pass in which a document is taken, in whole or (where a quota ends) up to the last word that is taken.
+
+    Each partition holds a part of the mix drawn by hash, in the order of the schedule: documents stand by the slot of their first words.
+    Passes are planned on hashes and sizes, then whole texts are joined to them once.  Null or blank texts are never taken; of rows that
+    are equal in all columns each is taken as often as its place in the stream says; rows that share doc_id, text and source
+    but differ elsewhere are told apart; ties go by hash, so reruns agree; an empty table gives an empty mix; clashing names do no harm.
+    """
+    m, seed = mix(docs, **options), options.get("seed", 7)
+    key = h, h2, h3 = [fresh(docs, c) for c in ("h_", "h2_", "h3_")]
+    slot, place, end, part, many = (fresh(docs, c) for c in ("slot_", "place_", "end_", "part_", "many_"))
+    rows = m.rows.select("src", "bucket", "rn", F.col("h").alias(h), F.col("h2").alias(h2), F.col("h3").alias(h3), "size")
+    passes = scheduled(m).groupBy("src", "bucket", "rn", "epoch").agg(F.sum("words").alias("taken"), F.min("slot").alias(slot), F.min("p").alias(place)).join(rows, ["src", "bucket", "rn"])
+    passes = materialize(passes.select(*key, slot, place, F.when(F.col("taken") < F.col("size"), F.col("taken")).alias(end)), "passes")
+    again = materialize(rows.groupBy(*key).count().where("count > 1").select(*key), "repeated")
+
+    keyed = docs.withColumns(dict(zip(key, keys(docs, seed, *key))))
+    narrow = lambda df: df.hint("shuffle_hash")  # noqa: E731  the side without texts is the one that is built
+    if again.isEmpty():
+        out = keyed.join(narrow(passes), key)
+    else:
+        # Of equal rows one stands for all; their passes are dealt to slices, each joined with its own copy of the text.
+        single = keyed.join(narrow(again), key, "left_anti").join(narrow(passes), key)
+        slices = passes.join(again, key).withColumn(part, F.pmod(F.xxhash64(slot, place), F.lit(1 << 20)))
+        sizes = slices.groupBy(*key).agg(F.ceil(F.count("*") / SLICE).cast("int").alias(many))
+        slices = slices.join(sizes, key).withColumn(part, F.pmod(part, many).cast("int")).drop(many)
+        once = keyed.join(narrow(sizes), key).dropDuplicates(key).withColumn(part, F.explode(F.sequence(F.lit(0), F.col(many) - 1))).drop(many)
+        out = single.unionByName(once.join(slices, [*key, part]).select(single.columns))
+    out = out.withColumn("text", F.when(F.col(end).isNull(), F.col("text")).otherwise(first_words("text", end)))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.unionByName(cut.select(docs.columns))
+        out = out.withColumn("n_chars", F.when(F.col(end).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.sortWithinPartitions(slot, place, *key).select(docs.columns)
+
+
+def first_words(text: str, n: str) -> Column:
+    """The text up to the end of its n-th word."""
+    blank = "[\\x20\\x09-\\x0D]+"
+    lead = F.col(text).rlike("^" + blank).cast("int")
+    pieces = F.split(F.col(text), blank, (F.col(n) + lead + 1).cast("int"))
+    rest = F.when(F.size(pieces) > F.col(n) + lead, F.length(F.element_at(pieces, -1))).otherwise(0)
+    return F.regexp_replace(F.substring(F.col(text), F.lit(1), F.length(text) - rest), blank + "$", "")

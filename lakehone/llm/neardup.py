@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, fresh, interpreted, materialize, rolled, small_batches
+from .common import WordHashes, components, fresh, hashable, interpreted, materialize, rolled, small_batches
 
 #: Values that a sketch retains.
 K = 32
@@ -66,19 +66,20 @@ BITS = ["b0", "b1", "p0", "p1", "p2", "p3"]
 BIT_FIELDS = ", ".join(f"{b} long" for b in BITS)
 
 
-def sketched(docs: DataFrame, words: int, k: int) -> DataFrame:
-    """doc_id, th (hash of the text), sig (128-bit digest of the set), n, bits and parities, sketch."""
+def sketched(docs: DataFrame, words: int, k: int, rows: bool = False) -> DataFrame:
+    """doc_id, th (hash of the text), rh (with `rows`: of the whole row), sig (128-bit digest of the set), n, bits and parities, sketch."""
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(t, words, hashes) for t in batch.column(2).to_pylist()]
+            sets = [shingles(t, words, hashes) for t in batch.column(3).to_pylist()]
             own = zip(*(bits(s) + parities(s) for s in sets)) if sets else [()] * len(BITS)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(list(map(len, sets)), pa.int64()), *(pa.array(x, pa.int64()) for x in own), pa.array([s[:k] for s in sets], pa.list_(pa.int64()))], ["doc_id", "th", "sig", "n", *BITS, "sketch"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(list(map(len, sets)), pa.int64()), *(pa.array(x, pa.int64()) for x in own), pa.array([s[:k] for s in sets], pa.list_(pa.int64()))], ["doc_id", "th", "rh", "sig", "n", *BITS, "sketch"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, sig binary, n long, {BIT_FIELDS}, sketch array<long>")
+    rh = F.xxhash64(*hashable(docs)) if rows else F.lit(0).cast("long")
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), rh.alias("rh"), "text").mapInArrow(run, f"doc_id {kind}, th long, rh long, sig binary, n long, {BIT_FIELDS}, sketch array<long>")
 
 
 def differing(a: str, b: str, t: str) -> str:
@@ -98,11 +99,11 @@ class Search:
     uid: a unit, which stands for all texts with the same set.
     """
 
-    def __init__(self, docs: DataFrame, words: int, percent: int, k: int = K, hot: int = HOT):
+    def __init__(self, docs: DataFrame, words: int, percent: int, k: int = K, hot: int = HOT, rows: bool = False):
         self.docs, self.words, self.percent, self.k, self.hot = docs.select("text"), words, percent, k, hot
         self.t = percent / 100
         self.spark = docs.sparkSession
-        self.rows = materialize(sketched(docs, words, k), "sketches")
+        self.rows = materialize(sketched(docs, words, k, rows), "sketches")
         alone = math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 62
         classes = self.rows.where("n > 0").groupBy("sig").agg(*(F.first(c).alias(c) for c in ("th", "n", *BITS, "sketch")))
         #: Smaller sets than `alone` are similar only if equal.
@@ -265,6 +266,10 @@ class Search:
             stars = groups.where("member")
             return near.union(stars.select(F.col("uid").alias("a"), F.col("hub").alias("b"))).union(self.inside(groups)).union(self.around(units, stars))
 
+    def classes(self) -> DataFrame:
+        """sig, root of the sets that are linked with others: equal roots, one component."""
+        return components(self.links()).join(self.units.select(F.col("uid").alias("node"), "sig"), "node").select("sig", "root")
+
     def inside(self, groups: DataFrame) -> DataFrame:
         """a, b: links of texts that are not their hub's members with others of the same hub, enough to connect them."""
         edge = groups.where("not member").select(F.col("hub").alias("a"), "uid")
@@ -365,7 +370,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     Sketch overlap and bits decide candidates at five standard deviations; every link is confirmed on the full sets.
     """
     search = Search(docs, words, percent, k, hot)
-    nodes = components(search.links()).join(search.units.select(F.col("uid").alias("node"), "sig"), "node").select("sig", "root")
+    nodes = search.classes()
     ids = search.rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     linked = materialize(ids.join(nodes, "sig", "left"), "linked")
     roots = linked.where("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
@@ -375,16 +380,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), own.alias("component_id"), "sig").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """docs (its columns and rows as they are) without near-duplicates: one row of each component; rows that repeat stay once."""
-    found = near_duplicates(docs, **options).where("kept")
-    own, th, copies, blank = (fresh(docs, c) for c in ("id_", "th_", "copies_", "blank_"))
-    # Of a component without any doc_id one text stays, that of the least hash; n_shingles = 0 are no duplicates of each other.
-    rows = found.groupBy("doc_id", "th", "n_shingles").agg(F.count("*").alias(copies))
-    rows = materialize(rows.select(F.col("doc_id").alias(own), F.col("th").alias(th), copies, (F.col("n_shingles") == 0).alias(blank)), "kept")
-    keyed = docs.withColumn(th, F.xxhash64("text"))
-    pick = lambda r: keyed.join(r, keyed["doc_id"].eqNullSafe(r[own]) & (keyed[th] == r[th])).select(*(keyed[c] for c in docs.columns))
-    alone = (F.col(copies) == 1) | F.col(blank)
-    again = rows.where(~alone)
-    again = F.broadcast(again) if again.count() <= FEW else again
-    return pick(rows.where(alone)).unionByName(pick(again).dropDuplicates(["doc_id", "text"]))
+def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K, hot: int = HOT) -> DataFrame:
+    """docs (its columns and rows as they are) without near-duplicates: exactly one row of each component.
+
+    It is the row of the smallest doc_id; rows without doc_id come last, ties go by hashes of text and row, and of rows that are equal
+    in all columns one stays.  Texts that are null or without words are no duplicates of anything and all stay.  An empty table stays
+    empty; other columns are kept, and names that clash do no harm.
+    """
+    search = Search(docs, words, percent, k, hot, rows=True)
+    full = search.rows.where("n > 0").groupBy("sig", "doc_id", "th", "rh").agg(F.count("*").alias("copies")).join(search.classes(), "sig", "left")
+    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "th", "rh", "copies")).alias("first")
+    best = full.groupBy("root", F.when(F.col("root").isNull(), F.col("sig")).alias("alone")).agg(first).select("first.th", "first.rh", (F.col("first.copies") > 1).alias("again"))
+    blank = search.rows.where("n = 0").select("th", "rh").distinct().withColumn("again", F.lit(False))
+    th, rh = fresh(docs, "th_"), fresh(docs, "rh_")
+    stay = materialize(best.unionByName(blank).select(F.col("th").alias(th), F.col("rh").alias(rh), "again"), "kept")
+    keyed = docs.withColumns({th: F.xxhash64("text"), rh: F.xxhash64(*hashable(docs))})
+    # The side without texts is the one that is built in memory; rows with a th and rh are equal.
+    pick = lambda r: keyed.join(r.select(th, rh).hint("shuffle_hash"), [th, rh])
+    out, twice = pick(stay.where("not again")), stay.where("again")
+    if not twice.isEmpty():
+        out = out.unionByName(pick(twice).dropDuplicates([th, rh]))
+    return out.select(docs.columns)
