@@ -18,6 +18,8 @@ K = 32
 HOT, ROUNDS, AROUND = 24, 2, 0.6
 #: Buckets of the frequencies that order the retained values: a vector of fixed size.
 FREQ = 1 << 18
+#: Texts that share a prefix value of their sketches in larger numbers than OFTEN are compared by larger sketches of WIDE values, in lists of at most PART texts a side.
+OFTEN, WIDE, PART = 256, 256, 1024
 #: Shingles of one side of a block that is compared inside a task.
 BLOCK = 200_000
 #: Ids of at most this many texts are broadcast; more are joined by a shuffle.
@@ -88,9 +90,11 @@ def differing(a: str, b: str, t: str) -> str:
     Sets of similarity t differ in (1 - t) / (1 + t) of the sum of their sizes at most, and in as many values as
     parities at least: that is exact.  A bin's least value differs with probability 1 - t, its bit with half of that.
     """
-    p = f"((1 - ({t})) / 2)"
+    # A decimal literal would round (1 - t) / (1 + t) down and lose pairs that are just similar enough.
+    t = f"double({t})"
+    p = f"((1 - {t}) / 2)"
     apart = lambda names: "(" + " + ".join(f"bit_count({a}.{x} ^ {b}.{x})" for x in names) + ")"
-    return f"least({a}.n, {b}.n) >= ({t}) * greatest({a}.n, {b}.n) - 1e-6 and {apart(BITS[2:])} <= (1 - ({t})) / (1 + ({t})) * ({a}.n + {b}.n) + 1e-6 and {apart(BITS[:2])} <= 128 * {p} + {SIGMA} * sqrt(128 * {p} * (1 - {p}))"
+    return f"least({a}.n, {b}.n) >= {t} * greatest({a}.n, {b}.n) - 1e-6 and {apart(BITS[2:])} <= (1 - {t}) / (1 + {t}) * ({a}.n + {b}.n) + 1e-6 and {apart(BITS[:2])} <= 128 * {p} + {SIGMA} * sqrt(128 * {p} * (1 - {p}))"
 
 
 class Search:
@@ -144,7 +148,7 @@ class Search:
         joined = pairs.join(side("a"), "a").join(side("b"), "b")
         union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
         both = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
-        wide = F.expr(f"({t}) - {sigma} * sqrt(({t}) * (1 - ({t})) / {k})")
+        wide = F.expr(f"double({t}) - {sigma} * sqrt(double({t}) * (1 - double({t})) / {k})")
         return joined.where(both / F.size(union) >= wide).select(*pairs.columns, "th_a", "th_b", "sig_a", "sig_b")
 
     def exact(self, pairs: DataFrame) -> DataFrame:
@@ -201,10 +205,11 @@ class Search:
         chained = found.join(hubs.withColumn("is_hub", F.lit(True)), "uid", "left")
         return materialize(chained.withColumn("member", F.expr("member and is_hub is null")).drop("is_hub"), "groups")
 
-    def prefixes(self, units: DataFrame, t_of, fields: str, whole: bool = False) -> DataFrame:
+    def prefixes(self, units: DataFrame, t_of, fields: str, whole: bool = False, k: int | None = None) -> DataFrame:
         """value and `fields` of units, a row for each of the rarest retained values that two similar texts must share one of (or for each, if `whole`)."""
-        k, names = self.k, [f.split()[0] for f in fields.split(", ")]
-        freq = None if whole else self.frequencies()
+        names = [f.split()[0] for f in fields.split(", ")]
+        freq = None if whole else self.frequencies() if k is None else self.counted(units)
+        k = k or self.k
 
         def run(batches):
             order = None if freq is None else freq.value
@@ -227,20 +232,57 @@ class Search:
     def frequencies(self):
         """How often values of each bucket are retained, as a broadcast vector of FREQ counts: the order of the inverted lists, rare first."""
         if not hasattr(self, "_freq"):
-            def count(batches):
-                total = np.zeros(FREQ, np.int64)
-                for batch in batches:
-                    v = batch.column(0).flatten().to_numpy().view(np.uint64) >> np.uint64(46)
-                    total += np.bincount(v.astype(np.int64), minlength=FREQ)
-                there = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["bucket", "n"])
-
-            got = self.units.select("sketch").coalesce(max(16, self.spark.sparkContext.defaultParallelism)).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-            out = np.zeros(FREQ, np.int64)
-            out[got["bucket"].to_numpy()] = got["n"].to_numpy()
-            self._freq = self.spark.sparkContext.broadcast(out)
+            self._freq = self.counted(self.units)
         return self._freq
 
+    def counted(self, units: DataFrame):
+        def count(batches):
+            total = np.zeros(FREQ, np.int64)
+            for batch in batches:
+                v = batch.column(0).flatten().to_numpy().view(np.uint64) >> np.uint64(46)
+                total += np.bincount(v.astype(np.int64), minlength=FREQ)
+            there = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["bucket", "n"])
+
+        got = units.select("sketch").coalesce(max(16, self.spark.sparkContext.defaultParallelism)).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        out = np.zeros(FREQ, np.int64)
+        out[got["bucket"].to_numpy()] = got["n"].to_numpy()
+        return self.spark.sparkContext.broadcast(out)
+
+    def met(self, x: DataFrame, y: DataFrame, key: list[str]) -> DataFrame:
+        """a, b: units of the same inverted list that may be similar."""
+        same = " and ".join(f"x.{c} = y.{c}" for c in key)
+        pairs = x.alias("x").join(y.alias("y"), F.expr(f"{same} and x.uid < y.uid and {differing('x', 'y', str(self.t))} and not arrays_overlap(x.g, y.g)"))
+        return pairs.select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"))
+
+    def candidates(self, units: DataFrame) -> DataFrame:
+        """a, b: units that share a prefix value.
+
+        Two similar texts share one of the rarest values of their sketches.  Where very many share it, as texts with the same passage do
+        that are not similar, a sketch is too small to tell them apart: they are compared by sketches of WIDE values, of
+        which the passage's are no longer among the rarest.  Lists that are long even then are cut into parts, each pair of which meets in a task of its own.
+        """
+        fields, t = f"uid long, n long, {BIT_FIELDS}, g array<long>", self.t
+        lists = self.prefixes(units, lambda row: t, fields)
+        often = materialize(lists.groupBy("value").count().where(F.col("count") > OFTEN).select("value"), "often")
+        if not (n := often.count()):
+            return self.met(lists, lists, ["value"]).distinct()
+        often = F.broadcast(often) if n <= FEW else often
+        hot = materialize(lists.join(often, "value", "left_semi").select("uid").distinct(), "hot")
+        lists = lists.join(often, "value", "left_anti")
+        larger = self.sets(hot).select("uid", F.slice("set", 1, WIDE).alias("sketch"))
+        wide = materialize(units.select(*(f.split()[0] for f in fields.split(", "))).join(larger, "uid"), "wide")
+        found = self.met(lists, lists, ["value"])
+        again = materialize(self.prefixes(wide, lambda row: t, fields, k=WIDE), "wide-lists")
+        parts = again.groupBy("value").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")).where("parts > 1")
+        parts = materialize(parts, "parts")
+        if parts.isEmpty():
+            return found.union(self.met(again, again, ["value"])).distinct()
+        again = again.join(F.broadcast(parts) if parts.count() <= FEW else parts, "value", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        x = again.withColumn("part", F.pmod(F.xxhash64("uid"), "parts").cast("int"))
+        y = again.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return found.union(self.met(x, y, ["value", "part"])).distinct()
+
     def linked(self, found: DataFrame) -> DataFrame:
         return found.where(f"100 * common >= {self.percent} * united").select("a", "b")
 
@@ -256,9 +298,7 @@ class Search:
             hubs = groups.where("member").select(F.col("hub").alias("uid")).distinct().withColumn("hub", F.lit(True))
             units = units.join(hubs, "uid", "left").where("hub is null").drop("hub", "member")
             units = materialize(units, "single")
-        lists = self.prefixes(units, lambda row: t, f"uid long, n long, {BIT_FIELDS}, g array<long>")
-        pairs = lists.alias("x").join(lists.alias("y"), F.expr("x.value = y.value and x.uid < y.uid and " + differing("x", "y", str(t)) + " and not arrays_overlap(x.g, y.g)"))
-        pairs = pairs.select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct()
+        pairs = self.candidates(units)
         near = self.linked(self.exact(self.estimated(pairs, str(t))))
         if groups is None:
             return near
