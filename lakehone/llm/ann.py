@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Vectors that the lists' centres are fitted on, and queries that the number of probed lists is measured on, at most.
-FIT, MEASURED = 8192, 64
-#: Vectors of one chunk of a list, queries of one chunk, dimensions of one block.
-CHUNK, QUERIES, DIMS = 4096, 1024, 16
+#: Lists at most, vectors that their centres are fitted on (EACH for a list) at most, those of them that bound a query's distances (of all vectors, SHARE) at most, and queries that the number of probed lists is measured on at most.
+LISTS, FIT, EACH, BOUND, SHARE, MEASURED = 16_384, 65_536, 32, 16_384, 0.25, 64
+#: Vectors of one part of a list, queries of one part of a list's queries, dimensions of one block.
+CHUNK, QUERIES, DIMS = 8192, 4096, 16
+#: Queries that a task looks at together.
+TOGETHER = 64
 #: Strength of the hypothesis test: candidates go if the distance so far, scaled up, is beyond the bound by this many deviations.
 EPSILON = 2.1
 #: Share of true neighbours that the measured queries must find.
@@ -22,8 +24,10 @@ RECALL = 0.97
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """id, vec (array<double>) of vectors without null or non-finite components that are not zero; of the commonest length only."""
-    vec = F.col(vec_col).cast("array<double>")
+    """id, vec (array of float or double) of vectors without null or non-finite components that are not zero; of the commonest length only."""
+    # Floats stay floats, half as wide to move; all sums are of doubles.
+    single = df.schema[vec_col].dataType.simpleString() == "array<float>"
+    vec = F.col(vec_col).cast("array<float>" if single else "array<double>")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = df.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec")).where("id is not null and vec is not null and size(vec) > 0")
     rows = rows.where(~F.exists("vec", bad) & F.exists("vec", lambda x: x != 0))
@@ -33,7 +37,7 @@ def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 def matrix(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
@@ -54,8 +58,9 @@ def centres(x: np.ndarray, k: int, rounds: int = 8, seed: int = 3) -> np.ndarray
 def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     out = np.empty(len(x), np.int64)
     half = (c**2).sum(1) / 2
-    for at in range(0, len(x), 2048):
-        out[at : at + 2048] = (half - x[at : at + 2048] @ c.T).argmin(1)
+    step = max(1, (1 << 22) // max(1, len(c)))
+    for at in range(0, len(x), step):
+        out[at : at + step] = (half - x[at : at + step] @ c.T).argmin(1)
     return out
 
 
@@ -87,11 +92,15 @@ class Index:
         self.n, self.most, self.d = got.n, got.m or 0.0, got.d or 0
         rng = np.random.default_rng(seed)
         self.turn = np.linalg.qr(rng.normal(size=(self.d + 1, self.d + 1)))[0] if self.n else np.zeros((1, 1))
-        fit = rows.orderBy(F.xxhash64("id"), "id", "vec").limit(FIT).toPandas()
-        self.fit_ids = fit.id.to_numpy(np.int64)
-        self.fit = np.stack(fit.vec.to_numpy()).astype(float) if len(fit) else np.zeros((0, self.d))
-        self.lists = max(1, min(4096, round(math.sqrt(self.n))))
-        self.centres = centres(self.lift(self.fit), self.lists) if len(fit) else np.zeros((1, self.d + 1))
+        self.lists = max(1, min(LISTS, round(math.sqrt(self.n))))
+        # An id counts once, so that the k-th nearest of these is no nearer than the k-th nearest id.
+        fit = rows.orderBy(F.xxhash64("id"), "id", "vec").limit(min(FIT, max(4096, EACH * self.lists))).toPandas().drop_duplicates("id")
+        bound = min(BOUND, math.ceil(SHARE * self.n))
+        self.fit_ids = fit.id.to_numpy(np.int64)[:bound]
+        fit = np.stack(fit.vec.to_numpy()).astype(float) if len(fit) else np.zeros((0, self.d))
+        self.fit = fit[:bound]
+        self.centres = centres(self.lift(fit), self.lists) if len(fit) else np.zeros((1, self.d + 1))
+        self.fit_lists = nearest(self.lift(self.fit), self.centres)
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         more = np.sqrt(np.maximum(self.most - (x**2).sum(1), 0))
@@ -101,7 +110,7 @@ class Index:
         return np.concatenate([q, np.zeros((len(q), 1))], 1) @ self.turn
 
     def assigned(self) -> DataFrame:
-        """id, vec, list, part: every row in its list, large lists in parts of about CHUNK."""
+        """id, vec, list: every row in its list."""
         shared = self.rows.sparkSession.sparkContext.broadcast((self.turn, self.most, self.centres))
 
         def run(batches):
@@ -111,11 +120,11 @@ class Index:
                 x = np.concatenate([x, np.sqrt(np.maximum(most - (x**2).sum(1), 0))[:, None]], 1) @ turn
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nearest(x, c).astype(np.int32))], ["id", "vec", "list"])
 
-        rows = materialize(self.rows.mapInArrow(run, "id long, vec array<double>, list int"), "assigned")
-        # One row for each list.
-        self.sizes = {r.list: r["count"] for r in rows.groupBy("list").count().collect()}
-        parts = F.create_map(*(F.lit(x) for k, n in self.sizes.items() for x in (k, -(-n // CHUNK)))) if self.sizes else F.create_map(F.lit(0), F.lit(1))
-        return rows.withColumn("part", F.pmod(F.xxhash64("id"), parts[F.col("list")]).cast("int"))
+        rows = materialize(self.rows.mapInArrow(run, f"id long, vec {self.rows.schema['vec'].dataType.simpleString()}, list int"), "assigned")
+        # One row for each list, LISTS at most.
+        held = rows.groupBy("list").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids")).collect()
+        self.sizes, self.ids = {r.list: r.n for r in held}, {r.list: r.ids for r in held}
+        return rows
 
     def probes(self, assigned: DataFrame, queries: DataFrame, k: int) -> int:
         """The number of lists to probe: measured on at most MEASURED queries, whose neighbours are found among all rows."""
@@ -149,36 +158,57 @@ class Index:
 
 
 def scan(q: np.ndarray, limit: np.ndarray, own: np.ndarray, qv: np.ndarray, ids: np.ndarray, x: np.ndarray, xv: np.ndarray, k: int):
-    """The k nearest of each query among x (rotated; xv: as they are), abandoning candidates block by block.
+    """The k nearest ids of each query among x (rotated; xv: as they are), abandoning candidates block by block.
 
     After j of D dimensions a candidate stays if its partial distance is at most limit * j / D * (1 + EPSILON / sqrt(j))^2.
+    The first block is one product of matrices for all queries, the others look at what is left of each.
     """
     d = x.shape[1]
+    again = len(np.unique(ids)) < len(ids)
     out = []
-    for i in range(len(q)):
-        alive, part, bound = np.arange(len(x)), np.zeros(len(x)), limit[i]
-        for at in range(0, d, DIMS):
-            end = min(d, at + DIMS)
-            part = part + ((x[alive, at:end] - q[i, at:end]) ** 2).sum(1)
-            share = 1.0 if end == d else end / d * (1 + EPSILON / math.sqrt(end)) ** 2
-            stay = part <= bound * share * (1 + 1e-9) + 1e-9
-            alive, part = alive[stay], part[stay]
-            if not len(alive):
-                break
-        alive = alive[ids[alive] != own[i]]
-        if len(alive):
-            s = scores(xv[alive], qv[i])
-            keep = best(ids[alive], s, k)
-            out.append((np.full(len(keep), own[i]), ids[alive][keep], s[keep]))
+
+    def allowed(end: int) -> float:
+        return 1.0 if end == d else end / d * (1 + EPSILON / math.sqrt(end)) ** 2
+
+    first = min(d, DIMS)
+    norm = (x[:, :first] ** 2).sum(1)
+    for low in range(0, len(q), TOGETHER):
+        near = q[low : low + TOGETHER, :first]
+        start = norm[None] + (near**2).sum(1)[:, None] - 2 * near @ x[:, :first].T
+        stay = start <= (limit[low : low + TOGETHER] * allowed(first) * (1 + 1e-9) + 1e-9)[:, None]
+        for i in range(low, min(low + TOGETHER, len(q))):
+            alive = np.flatnonzero(stay[i - low])
+            part, bound = start[i - low, alive], limit[i]
+            for at in range(first, d, DIMS):
+                if not len(alive):
+                    break
+                end = min(d, at + DIMS)
+                part = part + ((x[alive, at:end] - q[i, at:end]) ** 2).sum(1)
+                keep = part <= bound * allowed(end) * (1 + 1e-9) + 1e-9
+                alive, part = alive[keep], part[keep]
+            alive = alive[ids[alive] != own[i]]
+            if len(alive):
+                s = scores(xv[alive], qv[i])
+                if again:
+                    order = np.lexsort((ids[alive], -s))
+                    alive, s = alive[order], s[order]
+                    once = np.sort(np.unique(ids[alive], return_index=True)[1])
+                    alive, s = alive[once], s[once]
+                keep = best(ids[alive], s, k)
+                out.append((np.full(len(keep), own[i]), ids[alive][keep], s[keep]))
     return out
 
 
 def search(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", probes: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of df with the largest inner product for each query, its own row aside.
 
+    Every row is in the list of its nearest centre.  A query looks at the lists nearest to it, as many as MEASURED queries need to find RECALL
+    of their true neighbours; in a list, vectors are compared block by block of rotated dimensions and abandoned as soon as their partial
+    distance says that they are not among the k nearest.  How near that is, is bounded by the k-th of a sample's vectors in the same lists.
+
     Ties go to the smaller id.  Null vectors, zero vectors, those with null or non-finite components, without id, or of another
     length than most take no part.  Of rows with the same id the smallest vector is the query, and a result names an id once.
-    An empty table gives an empty result; other columns are ignored.  Lists are probed until MEASURED queries find RECALL of their true neighbours.
+    An empty table gives an empty result; other columns are ignored.
     """
     spark = df.sparkSession
     rows = materialize(usable(df, id_col, vec_col), "vectors")
@@ -190,52 +220,61 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id
     asked = materialize(asked.where(F.size("vec") == index.d), "queries")
     assigned = index.assigned()
     probes = min(probes or index.probes(assigned, asked, k), len(index.centres))
-    shared = spark.sparkContext.broadcast((index.turn, index.most, index.centres, index.fit, index.fit_ids, index.sizes))
+    sizes = np.zeros(len(index.centres), np.int64)
+    for l, n in index.ids.items():
+        sizes[l] = n
+    shared = spark.sparkContext.broadcast((index.turn, index.most, index.centres, index.fit, index.fit_ids, index.fit_lists, sizes))
+    vec = asked.schema["vec"].dataType.simpleString()
+
+    def routes(part: pa.RecordBatch):
+        """Of some queries: vectors, ids, the lists that each looks at, and its products with the vectors of the sample that are in them."""
+        turn, _, c, fit, fit_ids, fit_lists, sizes = shared.value
+        q, own = matrix(part.column(1)), part.column(0).to_numpy()
+        turned = np.concatenate([q, np.zeros((len(q), 1))], 1) @ turn
+        order = np.argsort((c**2).sum(1)[None] - 2 * turned @ c.T, 1, kind="stable")
+        # As many lists as were measured, and more while they hold too few ids.
+        before = np.cumsum(sizes[order], 1) - sizes[order]
+        taken = (np.arange(order.shape[1])[None] < probes) | (before <= 2 * k)
+        looked = np.zeros(order.shape, bool)
+        np.put_along_axis(looked, order, taken & (sizes[order] > 0), 1)
+        s = q @ fit.T
+        s[(own[:, None] == fit_ids[None]) | ~looked[:, fit_lists]] = -np.inf
+        return q, own, looked, s
 
     def route(batches):
-        """Each query with its lists, and a bound on its k-th distance from the vectors that the lists were fitted on."""
-        turn, most, c, fit, fit_ids, sizes = shared.value
+        """Each query with its lists, and a bound on its k-th distance in them."""
+        most = shared.value[1]
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                q, own = matrix(part.column(1)), part.column(0).to_numpy()
-                turned = np.concatenate([q, np.zeros((len(q), 1))], 1) @ turn
-                lists = np.argsort((c**2).sum(1)[None] - 2 * turned @ c.T, 1)[:, :probes]
-                s = q @ fit.T
-                s[own[:, None] == fit_ids[None]] = -np.inf
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                q, _, looked, s = routes(part)
                 kth = np.partition(s, s.shape[1] - k, 1)[:, s.shape[1] - k] if s.shape[1] > k else np.full(len(q), -np.inf)
                 limit = (q**2).sum(1) + most - 2 * kth
-                rows_, l = np.repeat(np.arange(len(q)), lists.shape[1]), lists.reshape(-1)
-                there = np.array([x in sizes for x in l.tolist()], bool)
-                rows_, l = rows_[there], l[there]
+                rows_, l = np.nonzero(looked)
                 yield pa.RecordBatch.from_arrays([*(col.take(pa.array(rows_)) for col in part.columns), pa.array(limit[rows_]), pa.array(l.astype(np.int32))], ["id", "vec", "limit", "list"])
 
-    def seeds(batches):
-        """The nearest of each query among the vectors that the lists were fitted on: at least these are found."""
-        *_, fit, fit_ids, _ = shared.value
+    def known(batches):
+        """Those that bound a query's distances have their products already, so that k are found whatever is abandoned."""
+        *_, fit, fit_ids, _, _ = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                q, own = matrix(part.column(1)), part.column(0).to_numpy()
-                s = q @ fit.T
-                s[own[:, None] == fit_ids[None]] = -np.inf
-                kth = np.partition(s, max(0, s.shape[1] - k), 1)[:, max(0, s.shape[1] - k)]
-                kth = np.where(np.isfinite(kth), kth, np.finfo(float).min / 2)
-                out = []
+            for at in range(0, batch.num_rows, TOGETHER):
+                q, own, _, s = routes(batch.slice(at, TOGETHER))
+                out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
                 for i in range(len(q)):
-                    near = np.flatnonzero(s[i] >= kth[i] - 1e-9 * (1 + abs(kth[i])))
-                    exact = scores(fit[near], q[i])
-                    keep = best(fit_ids[near], exact, k)
-                    out.append((np.full(len(keep), own[i]), fit_ids[near][keep], exact[keep]))
+                    near = np.flatnonzero(s[i] > -np.inf)
+                    near = near[np.argsort(-s[i, near], kind="stable")[:k]]
+                    out.append((np.full(len(near), own[i]), fit_ids[near], scores(fit[near], q[i])))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query_id", "vec_id", "score"])
 
-    routed = asked.select("id", "vec").mapInArrow(route, "id long, vec array<double>, limit double, list int")
-    # Parts of queries and of candidates of each list meet; neither side of a group is above a part's size.
-    n_asked = asked.count()
-    q_parts = max(1, -(-n_asked // QUERIES))
-    parts = F.create_map(*(F.lit(x) for l, n in index.sizes.items() for x in (l, -(-n // CHUNK))))
-    left = routed.withColumn("q_part", F.pmod(F.xxhash64("id"), F.lit(q_parts)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), parts[F.col("list")] - 1)))
-    right = assigned.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(q_parts - 1))))
+    routed = asked.select("id", "vec").mapInArrow(route, f"id long, vec {vec}, limit double, list int")
+    # A list of any size meets queries of any number in parts: its vectors go out once for each part of its own queries, and the other way round.
+    many = routed.groupBy("list").count().collect()
+    parts = spark.createDataFrame([(r.list, -(-index.sizes[r.list] // CHUNK), -(-r["count"] // QUERIES)) for r in many], "list int, parts int, q_parts int")
+    parts = F.broadcast(parts)
+    dealt = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
+    copies = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = routed.join(parts, "list").withColumn("q_part", dealt("q_parts", 1)).withColumn("part", copies("parts")).drop("parts", "q_parts")
+    right = assigned.join(parts, "list").withColumn("part", dealt("parts", 2)).withColumn("q_part", copies("q_parts")).drop("parts", "q_parts")
     key = ["list", "part", "q_part"]
 
     def meet(q: pa.Table, x: pa.Table) -> pa.Table:
@@ -250,7 +289,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id
         return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, "query_id long, vec_id long, score double")
-    found = found.union(asked.select("id", "vec").mapInArrow(seeds, "query_id long, vec_id long, score double"))
+    found = found.union(asked.select("id", "vec").mapInArrow(known, "query_id long, vec_id long, score double"))
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
