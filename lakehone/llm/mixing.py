@@ -16,7 +16,7 @@ BLOCK = 1024
 #: Sources have weights set by hand; more than this many are an error, not a silent cut.
 MAX_SOURCES = 1_000_000
 #: Rows of a bucket of a source's shuffled order, about: prefix sums go bucket by bucket.
-BUCKET = 1 << 14
+BUCKET = 1 << 12
 CHUNK = 1 << 16
 #: Passes of one content that a task joins, at most.
 SLICE = 4096
