@@ -208,6 +208,70 @@ def test_near_duplicates(spark, docs, odd, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+NEAR_PAIRS = """with w as (select doc_id, string_split(lower(text), ' ') as w from d), s as (select doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as s from w),
+g as (select doc_id, len(s) as n, unnest(s) as g from s)
+select x.doc_id as a, y.doc_id as b from g x join g y on x.g = y.g and x.doc_id < y.doc_id group by x.doc_id, y.doc_id, x.n, y.n having 100 * count(*) >= 80 * (x.n + y.n - count(*))"""
+
+
+def test_recall_near_the_threshold(spark):
+    """Pairs of similarity 0.80 to 0.85 among 20,000 rows: all that SQL finds are in one component."""
+    import duckdb
+
+    rng = np.random.default_rng(21)
+    rows = []
+    for i in range(6000):
+        size = int(rng.integers(40, 90))
+        w = [f"w{v}" for v in rng.integers(0, 200_000, size)]
+        rows.append(" ".join(w))
+        for _ in range(2):
+            v = list(w)
+            for at in rng.choice(size, max(1, round(size * rng.uniform(0.035, 0.06))), replace=False):
+                v[at] = f"x{rng.integers(0, 10**9)}"
+            rows.append(" ".join(v))
+    rows += [" ".join(f"w{v}" for v in rng.integers(0, 200_000, 30)) for _ in range(2000)]
+    pdf = pd.DataFrame({"doc_id": np.arange(len(rows)), "text": rows})
+    con = duckdb.connect()
+    con.register("d", pdf)
+    want = con.sql(NEAR_PAIRS).fetchall()
+    assert len(want) > 4000
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(pdf), words=2).collect()}
+    assert sum(got[a] == got[b] for a, b in want) / len(want) >= 0.999
+    root = {}
+
+    def find(u):
+        while root.get(u, u) != u:
+            u = root[u]
+        return u
+
+    for a, b in want:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    assert all(find(got[i]) == find(i) for i in got)
+
+
+def boilerplate(n, share=0.6, size=100, seed=5):
+    """Texts that share a passage, which is this share of each, and are not similar."""
+    rng = np.random.default_rng(seed)
+    passage = " ".join(f"b{i}" for i in range(int(size * share)))
+    return [passage + " " + " ".join(f"o{v}" for v in rng.integers(0, 10**9, size - int(size * share))) for _ in range(n)]
+
+
+def test_shared_passages_grow_linearly(spark):
+    """Candidate pairs of texts that share 60 % of their words do not grow with the square of their number, and links among them are found."""
+    counts = []
+    for n in (1000, 2000):
+        texts = boilerplate(n)
+        texts += [t + " tail" for t in texts[:20]]
+        search = neardup.Search(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 2, 80)
+        seen = []
+        met = search.met
+        search.met = lambda *a, met=met, seen=seen: seen.append(met(*a)) or seen[-1]
+        links = {tuple(sorted((r.a, r.b))) for r in search.links().collect()}
+        assert len(links) == 20
+        counts.append(sum(s.count() for s in seen))
+    assert counts[1] <= 3 * counts[0] + 2000
+
+
 def check_deduplicated(table, n, keep_ids=True):
     out = neardup.deduplicated(table, words=n)
     assert out.columns == table.columns
@@ -352,6 +416,33 @@ def test_neighbours_odd(spark):
     assert few.sort_values("rank").vec_id.tolist() == [1, 2, 3, 4]
 
 
+def test_neighbours_come_from_the_lists(spark):
+    """Recall of the method itself on a table several times the sample that bounds distances, and on repeated ids."""
+    rng = np.random.default_rng(12)
+    centre = rng.normal(size=(150, 24)) * 2
+    x = (centre[rng.integers(0, 150, 20_000)] + rng.normal(size=(20_000, 24))).astype(np.float32) * rng.uniform(0.5, 1.5, (20_000, 1)).astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(20_000), "embedding": x.tolist()}), "vec_id long, embedding array<float>").repartition(8)
+    ann.BOUND, ann.CHUNK, ann.QUERIES, before = 1000, 100, 30, (ann.BOUND, ann.CHUNK, ann.QUERIES)
+    try:
+        got = ann.search(df, df.where("vec_id % 20 = 0")).toPandas()
+    finally:
+        ann.BOUND, ann.CHUNK, ann.QUERIES = before
+    wide = x.astype(float)
+    found = got.groupby("query_id").vec_id.apply(set)
+    assert len(found) == 1000 and (got.groupby("query_id").size() == 20).all()
+    hits = 0
+    for q in range(0, 20_000, 20):
+        s = wide @ wide[q]
+        s[q] = -np.inf
+        hits += len(found[q] & set(np.argpartition(-s, 20)[:20].tolist()))
+    assert hits / 20_000 >= 0.95
+    some = got.sample(200, random_state=1)
+    assert all(abs(r.score - float((wide[r.query_id] * wide[r.vec_id]).sum())) < 1e-9 for r in some.itertuples())
+    twins = spark.createDataFrame([(7, [3.0 + i / 100, 0.5]) for i in range(60)] + [(100 + i, [1.0 + i / 100, 0.5]) for i in range(30)], "vec_id long, embedding array<float>")
+    top = ann.search(twins, twins.where("vec_id = 100")).toPandas().sort_values("rank").vec_id.tolist()
+    assert top == [7] + [129 - i for i in range(19)]
+
+
 # 6, 10
 
 
