@@ -6,6 +6,10 @@ import hashlib
 import json
 import math
 
+import pandas as pd
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
+
 
 def stored(value) -> str:
     """Sorted keys and spaced separators: what is written to columns."""
@@ -51,3 +55,15 @@ def finite(value) -> bool:
     if isinstance(value, list):
         return all(map(finite, value))
     return math.isfinite(value) if isinstance(value, float) else value is None or isinstance(value, (str, bool, int))
+
+
+@pandas_udf(T.BooleanType())
+def is_strict(texts: pd.Series) -> pd.Series:
+    """Whether each text is JSON of finite numbers in which no key stands twice; null for null."""
+    def one(text):
+        try:
+            return None if text is None else finite(strict(text))
+        except (ValueError, RecursionError):
+            return False
+
+    return texts.map(one)

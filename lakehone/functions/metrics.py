@@ -112,12 +112,19 @@ def rouge(prediction: str, references: list[str]) -> dict[str, float]:
 
 
 def edits(a, b) -> int:
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        corner, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
-    return row[-1]
+    """Least number of insertions, deletions and replacements, a row of the table at a time as bits (Myers, Hyyrö)."""
+    if not a or not b:
+        return len(a) + len(b)
+    places, full, last = positions(a), (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, count = full, 0, len(a)
+    for y in b:
+        same = places.get(y, 0)
+        across = ((same & up) + up ^ up) | same
+        more, less = down | full & ~(across | up), up & across
+        count += bool(more & last) - bool(less & last)
+        more, less = (more << 1 | 1) & full, less << 1 & full
+        up, down = less | full & ~(same | down | more), more & (same | down)
+    return count
 
 
 def word_errors(prediction: str, reference: str) -> float | None:
@@ -142,6 +149,86 @@ def scored(predictions: pd.Series, references: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["bleu", "rouge1", "rouge2", "rougeL", "accuracy", "wer"]).astype(float)
 
 
-def character_errors(prediction: Column, reference: Column) -> Column:
-    """Character edits by reference characters, natively; null for an empty pair."""
-    return F.when((F.length(prediction) > 0) & (F.length(reference) > 0), F.levenshtein(prediction, reference) / F.length(reference))
+@pandas_udf(T.DoubleType())
+def character_errors(predictions: pd.Series, references: pd.Series) -> pd.Series:
+    """Character edits by reference characters; null for an empty pair."""
+    return pd.Series([edits(p, r) / len(r) if p and r else None for p, r in zip(predictions, references)], dtype=float)
+
+
+def rouge_words(prediction: Column, reference: Column) -> Column:
+    """ROUGE-1 F1 of one reference, natively: words that both have, as often as both have them."""
+    words = lambda t: F.filter(F.split(F.coalesce(t, F.lit("")), r"\s+"), lambda w: w != "")
+
+    def score(a: Column, b: Column) -> Column:
+        times = lambda x, w: F.size(F.filter(x, lambda y: y == w))
+        common = F.aggregate(F.transform(F.array_intersect(a, b), lambda w: F.least(times(a, w), times(b, w))), F.lit(0), lambda n, x: n + x)
+        return F.when(F.size(a) + F.size(b) > 0, 2 * common / (F.size(a) + F.size(b))).otherwise(F.lit(0.0))
+
+    return F.get(F.transform(F.array(F.struct(words(prediction).alias("a"), words(reference).alias("b"))), lambda x: score(x["a"], x["b"])), F.lit(0))
+
+
+#: Metrics by name, in the order in which names are looked for.
+REGISTERED = ("accuracy", "bleu", "cer", "new_metric", "rouge", "wer")
+
+
+def detected(name: str) -> str | None:
+    """The first registered metric whose name is part of a name."""
+    return next((m for m in REGISTERED if m in name.lower()), None)
+
+
+def dispatched(metric: Column, scores: Column) -> Column:
+    """What a row's metric takes of scored(): accuracy, bleu, or the rouge values; any other name is an error."""
+    name = F.lower(metric)
+    pick = lambda *names: F.create_map(*(x for n in names for x in (F.lit(n), scores[n])))
+    return F.when(name == "accuracy", pick("accuracy")).when(name == "bleu", pick("bleu")).when(name == "rouge", pick("rouge1", "rouge2", "rougeL")).otherwise(F.raise_error(F.concat(F.lit("no such metric: "), F.coalesce(metric, F.lit("null")))))
+
+
+def plain_bleu(prediction: str, reference: str) -> float | None:
+    """BLEU of orders 1 to 4 without smoothing: 0 if an order has no match; null for an empty pair."""
+    p, r = prediction.split(), reference.split()
+    if not p or not r:
+        return None
+    shares = [(grams(p, n) & grams(r, n)).total() / max(1, len(p) - n + 1) for n in range(1, 5)]
+    return math.exp(sum(map(math.log, shares)) / 4 + min(0.0, 1 - len(r) / len(p))) if min(shares) > 0 else 0.0
+
+
+def matched(a: list[str], b: list[str]) -> set[int]:
+    """Places of b in one longest common subsequence with a."""
+    rows = [[0] * (len(b) + 1)]
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(rows[-1][j] + 1 if x == y else max(rows[-1][j + 1], row[j]))
+        rows.append(row)
+    i, j, out = len(a), len(b), set()
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+            out.add(j)
+        elif rows[i - 1][j] >= rows[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return out
+
+
+def rouge_lines(prediction: str, reference: str) -> float:
+    """ROUGE-Lsum F1: words of each reference line in a common subsequence with some line of the prediction, no word more often than both have it."""
+    p, r = ([line.split() for line in t.split("\n") if line.strip()] for t in (prediction, reference))
+    left = [Counter(w for line in t for w in line) for t in (p, r)]
+    sizes = [c.total() for c in left]
+    common = 0
+    for line in r:
+        for at in sorted(set().union(*(matched(x, line) for x in p))) if p else ():
+            if left[0][line[at]] > 0 and left[1][line[at]] > 0:
+                left[0][line[at]] -= 1
+                left[1][line[at]] -= 1
+                common += 1
+    return f1(common, *sizes)
+
+
+@pandas_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in ("bleu", "rouge1", "rouge2", "rougeL", "rougeLsum")]))
+def corpus_scored(predictions: pd.Series, references: pd.Series) -> pd.DataFrame:
+    """Of each pair what a corpus's mean is taken of: BLEU without smoothing (null for an empty pair, which no mean counts) and ROUGE with its value by lines."""
+    rows = [{"bleu": plain_bleu(p or "", r or ""), **rouge(p or "", [r or ""]), "rougeLsum": rouge_lines(p or "", r or "")} for p, r in zip(predictions, references)]
+    return pd.DataFrame(rows, columns=["bleu", "rouge1", "rouge2", "rougeL", "rougeLsum"]).astype(float)

@@ -46,6 +46,6 @@ def systematic(df: DataFrame, index: str, total: int, budget: int, page: int = 2
     strata = max(1, -(-budget // page))
     width = max(1, total // strata)
     stratum = F.least(F.floor(F.col(index) / width), F.lit(strata - 1))
-    offset = F.pmod(F.xxhash64(F.lit(seed), stratum), F.lit(max(1, width - page + 1)))
+    offset = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), stratum.cast("string")), 256), 1, 8), 16, 10).cast("long") % F.lit(max(1, width - page + 1))
     at = F.col(index) - stratum * width
     return df.where((at >= offset) & (at < offset + page))

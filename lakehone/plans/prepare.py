@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.adapt import adapted
+from ..functions.adapt import METADATA, adapted, metadata
 from ..functions.text import overlap_key
 from ..operators.dedup import grouped_split, hash_split
 
+#: What decisions are made of.
+DECIDING = ["id", "dataset", "split", "original_split", "row_index", "official", "preserved", "labeled", "job_rank", "problems", "example_hash", "input_hash", "reserved_hash", "user_texts"]
 #: Order of jobs: preserved test, validation and training splits before all others.
 RANKS = {"test": 0, "validation": 1, "train": 2}
 
 
 def prepared(raw: DataFrame) -> DataFrame:
-    """raw (dataset, repo, revision, config, kind, preserved, labeled, original_split, row_index, source, task, messages_json, tools_json) adapted and identified."""
+    """raw (dataset, repo, revision, config, kind, preserved, labeled, original_split, row_index, source, task, messages_json, tools_json, and what there is of METADATA) adapted and identified."""
     identity = F.concat(F.col("repo"), F.lit("@"), "revision", F.lit(":"), "config", F.lit(":"), "original_split", F.lit(":"), F.col("row_index").cast("string"))
     known = raw.withColumns({"source": F.coalesce("source", F.lit("unknown")), "task": F.coalesce("task", F.lit("unknown"))})
-    rows = known.select(*(c for c in known.columns if c not in ("messages_json", "tools_json")), adapted("messages_json", "tools_json", "kind", ~F.col("labeled")).alias("a"))
+    rows = known.select(*(c for c in known.columns if c not in ("messages_json", "tools_json", *METADATA)), metadata(raw.columns).alias("metadata_json"), adapted("messages_json", "tools_json", "kind", ~F.col("labeled")).alias("a"))
     rows = rows.select(*(c for c in rows.columns if c != "a"), "a.*")
     nameless = (F.col("source") == "unknown") | (F.col("task") == "unknown")
     official = F.col("preserved") & (F.col("original_split") != "train")
@@ -33,7 +35,12 @@ def prepared(raw: DataFrame) -> DataFrame:
 
 
 def decided(rows: DataFrame, benchmarks: DataFrame, seed=42, fraction: float = 0.02) -> DataFrame:
-    """rows of prepared() with decision, reason, split, duplicate_of, benchmark_matches.  Persist it: the UDFs before it are dear."""
+    """rows of prepared() with decision, reason, split, duplicate_of, benchmark_matches.
+
+    The rows are read five times, once for each thing that is known of all of them, and the UDFs before them are dear: only what decides
+    (ids, hashes, splits, user texts) is kept in memory or on disk meanwhile, and decisions are joined to the rows by id.
+    """
+    rows, whole = rows.select(*DECIDING).persist(), rows
     good = F.size("problems") == 0
     reserved = rows.where("official").select(F.coalesce("input_hash", "reserved_hash").alias("input_hash"), "split").where("input_hash is not null")
     reserved = reserved.groupBy("input_hash").agg(F.min("split").alias("held"))  # test before validation
@@ -49,14 +56,15 @@ def decided(rows: DataFrame, benchmarks: DataFrame, seed=42, fraction: float = 0
     out = out.join(firsts, "example_hash", "left")
     repeated = F.col("early").isNull() & ~F.col("official") & (F.col("first_id") != F.col("id"))
     split = F.when(~good | F.col("official"), F.col("split")).when(F.col("held").isNotNull(), F.col("held")).when(F.col("in_train"), "train").otherwise(hash_split(seed, F.col("input_hash"), fraction))
-    return out.select(
-        *(c for c in rows.columns if c not in ("split", "reserved_hash", "user_texts")),
+    told = out.select(
+        "id",
         F.when(F.col("early") == "quarantine", "quarantine").when(F.col("early").isNotNull() | repeated, "exclude").when(F.col("labeled"), "keep").otherwise("holdout").alias("decision"),
         F.when(F.col("early") == "quarantine", F.col("problems")).when(F.col("early").isNotNull(), F.array("early")).when(repeated, F.array(F.lit("exact_duplicate"))).otherwise(F.array().cast("array<string>")).alias("reasons"),
         split.alias("split"),
         F.when(repeated, F.col("first_id")).alias("duplicate_of"),
         F.coalesce("benchmark_matches", F.array().cast("array<string>")).alias("benchmark_matches"),
     )
+    return whole.select(*(c for c in whole.columns if c not in ("split", "reserved_hash", "user_texts"))).join(told, "id")
 
 
 __all__ = ["decided", "grouped_split", "prepared"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import tempfile
@@ -28,7 +29,7 @@ def publish(frames: dict[str, DataFrame], target: str) -> None:
 
 def fan_out(decided: DataFrame, target: str) -> None:
     """One evaluated frame of decisions to kept rows, held-out rows and all decisions."""
-    decided = decided.persist()
+    decided = decided.persist()  # to memory and disk; blocks of a lost executor are computed again
     try:
         publish({"candidates": decided.where("decision = 'keep'"), "holdout": decided.where("decision = 'holdout'"), "decisions": decided}, target)
     finally:
@@ -51,3 +52,31 @@ def write_sample(df: DataFrame, path: str, order: list[str], limit: int = 100_00
     with open(path, "x", encoding="utf-8") as file:
         file.writelines(r.line + "\n" for r in rows)
     return len(rows)
+
+
+def freeze(path: str, rows: list[dict], receipt: str) -> str:
+    """Writes rows as JSON lines to a file that must not be there yet, and a receipt with the SHA-256 of its bytes; returns that."""
+    raw = "".join(json.dumps(r, ensure_ascii=False, sort_keys=True, allow_nan=False) + "\n" for r in rows).encode()
+    with open(path, "xb") as file:
+        file.write(raw)
+    digest = hashlib.sha256(raw).hexdigest()
+    write_json(receipt, {"sha256": digest, "rows": len(rows)})
+    return digest
+
+
+def unchanged(path: str, receipt: str) -> bool:
+    """Whether a frozen file still has the bytes of its receipt."""
+    with open(path, "rb") as file, open(receipt, encoding="utf-8") as other:
+        return hashlib.sha256(file.read()).hexdigest() == json.load(other)["sha256"]
+
+
+def report(title: str, tables: dict[str, DataFrame], facts: dict | None = None, limit: int = 1000) -> str:
+    """A Markdown report of facts and of aggregated tables, rows sorted; a table of more rows than the limit is an error, not cut."""
+    cell = lambda x: "" if x is None else str(x).replace("|", "\\|").replace("\n", " ")
+    out = [f"# {title}", *([""] if facts else []), *(f"- {k}: {cell(v)}" for k, v in (facts or {}).items())]
+    for name, df in tables.items():
+        rows = df.orderBy(*df.columns).limit(limit + 1).collect()
+        if len(rows) > limit:
+            raise ValueError(f"{name}: more than {limit} rows")
+        out += ["", f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *("| " + " | ".join(map(cell, r)) + " |" for r in rows)]
+    return "\n".join(out) + "\n"

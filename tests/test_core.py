@@ -127,38 +127,62 @@ def test_padding():
     assert adapt.nullable({"anyOf": [{"type": "string"}, {"type": "null"}]}) and not adapt.nullable({"enum": [1]}) and not adapt.nullable({"anyOf": []})
 
 
-@pytest.mark.parametrize(
-    ("task", "prompt", "answer", "flags"),
-    [
-        ("diacritization", checks.DIACRITIZE + "كتب", "كَتَبَ", set()),
-        ("diacritization", checks.DIACRITIZE + "كتب", "قرأ", {"underlying_text_changed", "no_diacritics_added"}),
-        ("summarization", "لخّص النص التالي بشكل موجز:\n\nفي عام 2020", "عام ٢٠٢٠", set()),
-        ("summarization", "لخّص النص التالي بشكل موجز:\n\nفي عام 2020", "عام 2021", {"transformation_numbers_unverified"}),
-        ("chat", "Write a Python function", "```python\nx = 1\n```", {"python_function_missing"}),
-        ("chat", "Write a Python function", "```python\ndef f(:\n```", {"python_syntax_invalid"}),
-        ("chat", "Write a Python function", "sorry no", {"python_answer_unparsed"}),
-        ("chat", "Write a Python program", "```python\npass\n```", {"python_code_empty"}),
-        ("chat", "اكتب قصة\n" + checks.NO_COMMA, "أ، ب", {"forbidden_comma_present"}),
-        ("chat", "اكتب قصة\nابدأ القصة حرفيا بـ «كان»", "كان يا ما كان", set()),
-        ("chat", "hi", "a�b", {"replacement_character_present"}),
-    ],
-)
-def test_checks(task, prompt, answer, flags):
-    notes, _ = checks.curation([{"role": "user", "content": prompt}, {"role": "assistant", "content": answer}], [], "s", task)
-    assert {*notes.flags} == flags
-
-
-def test_grounding():
-    def flags(said, arguments):
+CASES = [
+    ("diacritization", checks.DIACRITIZE + "كتب", "كَتَبَ", set()),
+    ("diacritization", checks.DIACRITIZE + "كتب", "قرأ", {"underlying_text_changed", "no_diacritics_added"}),
+    ("summarization", "لخّص النص التالي بشكل موجز:\n\nفي عام 2020", "عام ٢٠٢٠", set()),
+    ("summarization", "لخّص النص التالي بشكل موجز:\n\nفي عام 2020", "عام 2021", {"transformation_numbers_unverified"}),
+    ("chat", "Write a Python function", "```python\nx = 1\n```", {"python_function_missing"}),
+    ("chat", "Write a Python function", "```python\ndef f(:\n```", {"python_syntax_invalid"}),
+    ("chat", "Write a Python function", "sorry no", {"python_answer_unparsed"}),
+    ("chat", "Write a Python program", "```python\npass\n```", {"python_code_empty"}),
+    ("chat", "اكتب قصة\n" + checks.NO_COMMA, "أ، ب", {"forbidden_comma_present"}),
+    ("chat", "اكتب قصة\nابدأ القصة حرفيا بـ «كان»", "كان يا ما كان", set()),
+    ("chat", "hi", "a�b", {"replacement_character_present"}),
+    ("chat", "Write a Python function", "x = lambda: 1", set()),
+    ("tool_use", "Write a Python function", "no", set()),
+    ("summarization", "something else", "9", {"unsupported_task_wrapper"}),
+    ("chat", "Write a story\nاختم القصة حرفيا بـ «نهاية».", "x", {"literal_end_mismatch"}),
+    ("chat", "Write a story\nmake it long", "a, b", set()),
+    ("translation", "ترجم النص التالي من الإنجليزية إلى العربية:\n\nIn 1,000 days", "في ١٠٠٠ يوم", set()),
+    ("sentiment_analysis", checks.SENTIMENT + "x", "محايد ", set()),
+    ("diacritization", "no prefix", "x", {"unsupported_task_wrapper"}),
+    ("summarization", "لخّص النص التالي بشكل موجز:\n\n" + "1" * 300, "2", {"numeric_token_check_skipped_limit"}),
+]
+
+
+def signals(spark, rows, **options):
+    """Flags and checks of (messages, tools, source, task) rows."""
+    df = spark.createDataFrame([(i, json.dumps(m), json.dumps(t), s, k) for i, (m, t, s, k) in enumerate(rows)], "id int, messages_json string, tools_json string, source string, task string")
+    return [({*r.flags}, {*r.checks}, r) for r in sorted(checks.signalled(df, **options).collect(), key=lambda r: r.id)]
+
+
+def test_checks(spark):
+    rows = [([{"role": "user", "content": prompt}, {"role": "assistant", "content": answer}], [], "s", task) for task, prompt, answer, _ in CASES]
+    got = signals(spark, rows)
+    for (task, prompt, answer, want), (flags, checked, _) in zip(CASES, got):
+        assert flags == want, (task, prompt, answer)
+        assert {"structure", "semantic_quality_skipped_offline"} <= checked
+    tweets = [([{"role": "user", "content": checks.SENTIMENT + "x"}, {"role": "assistant", "content": a}], [], "twitter_sentiment", "sentiment_analysis") for a in ("محايد ", "ok")]
+    more = [*tweets, ([USER], [], "s", "chat"), ([USER, {**SAYS, "think": " so "}], [], "s", "chat"), ([USER, {**SAYS, "content": checks.NO_CALL}], [], "quiet", "tool_use"), ([USER, {"role": "assistant", "content": "x", "\ufffd": 1}], [], "s", "chat")]
+    flags = [f for f, _, _ in signals(spark, more, no_call_sources=["quiet"])]
+    assert flags == [set(), {"invalid_sentiment_label"}, set(), {"assistant_reasoning_fields_present"}, {"generic_no_call_target"}, set()]
+    assert signals(spark, more)[2][2].structural == ["missing_assistant", "final_message_not_assistant"]
+
+
+def test_grounding(spark):
+    def row(said, arguments):
         messages = call(arguments)
         messages[0] = {"role": "user", "content": said}
-        return {*checks.curation(messages, [TOOL], "s", "tool_use")[0].flags}
+        return messages, [TOOL], "s", "tool_use"
 
-    assert flags("give me 1,000 of them", {"n": 1000}) == set()
-    assert flags("give me 12", {"n": 13}) == {"tool_argument_tokens_unverified"}
-    assert flags("order 00123", {"order_id": "123"}) == {"tool_argument_tokens_unverified"}
-    assert flags("order ٠٠١٢٣", {"order_id": "00123"}) == set()
-    assert flags("x", {"n": 10**400}) == {"numeric_token_check_skipped_limit"}
+    rows = [row("give me 1,000 of them", {"n": 1000}), row("give me 12", {"n": 13}), row("order 00123", {"order_id": "123", "n": 123}), row("order ٠٠١٢٣", {"order_id": "00123", "n": 123}), row("x", {"n": 10**400})]
+    lax = [{"name": "f", "parameters": {"type": "object"}}]
+    got = signals(spark, [(m, lax, s, k) for m, _, s, k in rows])
+    assert [f for f, _, _ in got] == [set(), {"tool_argument_tokens_unverified"}, {"tool_argument_tokens_unverified"}, set(), {"numeric_token_check_skipped_limit"}]
+    assert all(r.tool_behavior == "call" for _, _, r in got)
+    default = [{"name": "f", "parameters": {"type": "object", "properties": {"n": {"type": "integer", "default": 7}, "l": {"type": "array", "items": {"type": "integer"}}}}}]
+    assert [f for f, _, _ in signals(spark, [(row("x", {"n": 7})[0], default, "s", "tool_use"), (row("1 and 2", {"n": 7, "l": [1, 2, 3]})[0], default, "s", "tool_use")])] == [set(), {"tool_argument_tokens_unverified"}]
 
 
 def test_metrics():
@@ -224,8 +248,11 @@ def test_prepare(spark):
 
 def test_curated(spark):
     rows = [("1", True, "train", "s", "t", [USER, SAYS]), ("2", True, "train", "s", "t", [USER]), ("3", True, "train", "odd", "t", [USER, SAYS]), ("4", True, "train", "s", "t", [USER, {"role": "assistant", "content": "�"}]), ("5", True, "test", "s", "t", None)]
-    df = spark.createDataFrame([(i, "d", lab, sp, so, ta, "h", "i", "not json" if m is None else json.dumps(m), "[]") for i, lab, sp, so, ta, m in rows], "id string, dataset string, labeled boolean, split string, source string, task string, example_hash string, input_hash string, messages_json string, tools_json string")
+    df = spark.createDataFrame([(i, "d", lab, sp, so, ta, "h", "i", "not json" if m is None else json.dumps(m), "[]") for i, lab, sp, so, ta, m in rows], "id string, dataset string, is_labeled boolean, split string, source string, task string, example_hash string, input_hash string, messages_json string, tools_json string")
     got = {r.id: (r.decision, r.reasons) for r in curate.curated(df, ["replacement_character_present"], {"odd": "odd_source"}, {}).collect()}
+    extra = df.withColumns({"metadata_json": F.lit('{"dialect":"gulf"}'), "revision": F.lit("r"), "original_split": F.lit("train"), "row_index": F.lit(1)})
+    out = curate.curated(extra, [], {}, {}).where("id = '1'").first()
+    assert (out.dialect, out.revision, out.row_index, out.scope, out.task_hint) == ("gulf", "r", 1, "offline_rules", "")
     assert got == {"1": ("accept", ["offline_checks_passed"]), "2": ("exclude", ["final_message_not_assistant", "missing_assistant"]), "3": ("review", ["odd_source"]), "4": ("repair", ["replacement_character_present"])}
 
 
@@ -239,28 +266,64 @@ def test_samples(spark):
     assert dedup.unseen(df, spark.range(10).withColumn("g", F.lit(3)), ["id", "g"]).where("id < 10 or g = 3").count() == 0
 
 
+GOOD = {"decision": "keep", "reasons": ["fine"], "dimensions": dict.fromkeys(judge.DIMENSIONS, "pass")}
+
+
 def test_ledger(tmp_path):
-    good = json.dumps({"decision": "keep", "reasons": ["fine"], "dimensions": dict.fromkeys(judge.DIMENSIONS, "pass")})
     sent = []
 
     def send(payload):
         sent.append(payload)
         if payload == "stop":
             raise KeyboardInterrupt
-        return (good if payload != "bad" else "{}"), Decimal("0.4")
+        if payload == "lost":
+            raise OSError("no answer")
+        return (json.dumps(GOOD) if payload != "bad" else "{}"), Decimal("0.9" if payload == "dear" else "0.4")
 
-    path = str(tmp_path / "l.db")
-    ledger = judge.Ledger(path, "run", Decimal(2))
+    def ledger(name, budget=2):
+        return judge.Ledger(str(tmp_path / name), "run", Decimal(budget))
+
+    half = Decimal("0.5")
+    one = ledger("a")
     with pytest.raises(KeyboardInterrupt):
-        ledger.run([("1", "a"), ("2", "bad"), ("3", "stop")], Decimal(1), send)
-    again = judge.Ledger(path, "run", Decimal(2))
-    got = again.run([(str(i), "a") for i in range(1, 9)], Decimal(1), send)
-    assert sent == ["a", "bad", "stop"] and got["1"]["decision"] == "keep" and got["2"]["decision"] is None and again.spent() == Decimal("1.8")
+        one.run([("1", "a"), ("2", "stop"), ("3", "c")], half, send)
+    one = ledger("a")
+    assert one.spent() == Decimal("0.9")  # the charge of one, the reservation of the other
+    got = one.run([("1", "a"), ("2", "stop"), ("3", "c"), ("4", "d"), ("5", "e")], half, send)
+    assert sent == ["a", "stop", "c", "d"] and {*got} == {"1", "3", "4"} and one.stopped == "budget_exhausted" and one.spent() == Decimal("1.7")
+    for payload, why in (("bad", "stopped_on_error"), ("lost", "stopped_on_error"), ("dear", "charge_above_reservation"), ("x" * 200_000, "request_too_large")):
+        other = ledger(why + payload[:4])
+        other.run([("1", "a"), ("2", payload), ("3", "c")], half, send)
+        assert other.stopped == why and "3" not in other.results()
+    many = ledger("many", 100)
+    assert len(many.run(((str(i), f"p{i}") for i in range(40)), half, send, workers=4)) == 40 and many.stopped is None
+    assert many.spent() == Decimal(16) and many.run([("0", "p0"), ("0", "p0")], half, send) and len([x for x in sent if x == "p0"]) == 1
     with pytest.raises(ValueError):
-        judge.Ledger(path, "other", Decimal(1))
-    for wrong in ({"decision": "keep", "reasons": [], "dimensions": {}}, {"decision": "drop", "reasons": ["x"], "dimensions": dict.fromkeys(judge.DIMENSIONS, "pass")}):
-        with pytest.raises(ValueError):
-            judge.judgment(json.dumps(wrong))
+        judge.Ledger(str(tmp_path / "a"), "another", Decimal(1))
+
+
+def test_judgments(spark):
+    marks = GOOD["dimensions"]
+    reason = lambda r: {**GOOD, "reasons": r}
+    failed = {**marks, "correctness": "fail"}
+    good = [GOOD, reason(["a\nb", "a\tb", "نص\u200c"]), {**GOOD, "decision": "review", "dimensions": failed}, {**GOOD, "decision": "drop", "dimensions": failed}, reason(["x" * 2000])]
+    bad = [3, [], {}, {**GOOD, "more": 1}, {**GOOD, "decision": "no"}, {**GOOD, "decision": 1}, {**GOOD, "decision": ["keep"]}, reason([]), reason(["a"] * 4), reason([" "]), reason([3]), reason("fine"), reason(["a\rb"]), reason(["a\x7f"]), reason(["x" * 2001])]
+    bad += [{**GOOD, "dimensions": x} for x in ([], {}, {**marks, "more": "pass"}, {**marks, "correctness": "good"}, {**marks, "correctness": ["pass"]}, {**marks, "correctness": None}, failed, {**marks, "correctness": "uncertain"})]
+    bad += [{**GOOD, "decision": "repair"}, {**GOOD, "decision": "drop", "dimensions": {**marks, "correctness": "uncertain"}}]
+    texts = [json.dumps(x) for x in good + bad] + ['{"decision": "keep", "decision": "keep"}', "no json"]
+    want = []
+    for t in texts:
+        try:
+            judge.judgment(t)
+            want.append(None)
+        except ValueError as error:
+            want.append(str(error))
+    assert [w is None for w in want] == [True] * len(good) + [False] * (len(bad) + 2)
+    got = [r.f for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", judge.judgment_fault(F.col("t")).alias("f")).orderBy("i").collect()]
+    names = {"keys", "decision", "reasons", "dimensions", "contradiction"}
+    assert [g is None for g in got] == [w is None for w in want]
+    assert all(g == w for g, w in zip(got, want) if w in names and g != "json")
+
 
 
 def test_sources(spark, sf, tmp_path):
