@@ -12,7 +12,6 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import small_batches
 
 #: A boundary becomes a cut if the hash of the bytes before it has these bits at zero: about every 2,000 bytes.
 CUT_MASK = np.uint64(255)
@@ -31,8 +30,8 @@ def default_tokenizer() -> str:
 class Codec:
     """Encodes as the tokenizer file's own library does (no special tokens added), and decodes.
 
-    Text is cut where a letter is followed by one space and a letter, and where a hash of the eight bytes before says so:
-    equal passages of different texts give equal chunks, which are encoded once.  A join is accepted if the
+    Text is cut between letters of any script with one space between them, or behind an ideographic stop or comma, where a hash of the eight
+    bytes before says so: equal passages of different texts give equal chunks, which are encoded once.  A join is accepted if the
     words around it, encoded together, have the tokens that both chunks have there; else the window is doubled, up to both
     chunks whole, and if they never agree, the whole text is encoded again.
     """
@@ -75,19 +74,25 @@ class Codec:
         return np.array(self.fast.encode_ordinary(text), np.uint32)
 
     def cuts(self, text: str) -> tuple[bytes, np.ndarray, list[int]]:
-        """The text's bytes, the places where it could be cut (a letter, one space, a letter), and which of them it is cut at."""
+        """The text's bytes, the places where it could be cut (at one space between letters, behind an ideographic stop), and which of them it is cut at."""
         raw = text.encode()
         if len(raw) < 256 or any(s in text for s in self.special):
             return raw, np.zeros(0, np.int64), []
         b = np.frombuffer(raw, np.uint8)
-        at = np.flatnonzero(b[8:-1] == 32) + 8
-        letter = lambda x: ((x | 32) >= 97) & ((x | 32) <= 122)
-        at = at[letter(b[at - 1]) & letter(b[at + 1])]
+        # What is no letter among the bytes beyond ASCII is found where chunks are joined.
+        letter = (((b | 32) >= 97) & ((b | 32) <= 122)) | (b >= 128)
+        place = (b[8:-1] == 32) & letter[7:-2] & letter[9:]
+        if not text.isascii():
+            stop = (b[7:-2] == 0x81) | (b[7:-2] == 0x82)
+            place |= stop & (b[6:-3] == 0x80) & (b[5:-4] == 0xE3) & (b[8:-1] >= 0xC0)
+        at = np.flatnonzero(place) + 8
+        # Stops are rarer than spaces.
+        mask = np.where(b[at] == 32, CUT_MASK, CUT_MASK >> np.uint64(3))
         h = np.zeros(len(at), np.uint64)
         for i in range(1, 9):
             h = h * np.uint64(0x100000001B3) + b[at - i]
         h ^= h >> np.uint64(29)
-        return raw, at, np.flatnonzero((h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) & CUT_MASK == 0).tolist()
+        return raw, at, np.flatnonzero((h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) & mask == 0).tolist()
 
     def chunk(self, text: str) -> np.ndarray:
         if (ids := self.cache.get(text)) is not None:
@@ -160,7 +165,6 @@ def codec(path: str) -> Codec:
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids (array of int).  A null text is encoded as the empty one; other columns are ignored; rows that repeat, repeat."""
     path = path or default_tokenizer()
-    small_batches(docs.sparkSession)
 
     def run(batches):
         c = codec(path)
@@ -189,9 +193,11 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids) of every whole text: encoded, decoded and digested in one pass."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids) of every whole text: encoded, decoded and digested in one pass.
+
+    A null text is the empty one, without tokens; rows that repeat, repeat; an empty table gives an empty result; other columns are ignored.
+    """
     path = path or default_tokenizer()
-    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

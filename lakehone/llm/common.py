@@ -11,8 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch: long texts make large batches otherwise.
-ARROW_ROWS = 1000
+#: Rows and bytes of one Arrow batch: long texts make large batches otherwise.
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -33,40 +33,81 @@ def hashable(df: DataFrame) -> list[Column]:
     return [F.to_json(F.struct(df[f.name])) if "map<" in f.dataType.simpleString() else df[f.name] for f in df.schema.fields]
 
 
-def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+@contextlib.contextmanager
+def options(spark: SparkSession, **values: str):
+    """Session options that hold inside; those of the caller come back."""
+    names = {k: "spark.sql." + k.replace("__", ".") for k in values}
+    before = {name: spark.conf.get(name, None) for name in names.values()}
+    for k, name in names.items():
+        spark.conf.set(name, values[k])
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def small_batches(spark: SparkSession):
+    """Few rows and bytes in an Arrow batch, for jobs that run inside."""
+    return options(spark, execution__arrow__maxRecordsPerBatch=str(ARROW_ROWS), execution__arrow__maxBytesPerBatch=str(ARROW_BYTES))
+
+
+#: Folders of scratch(), the innermost last.
+_scratch: list[str] = []
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder that all executors share.  Without spark.checkpoint.dir, local sessions get a temporary folder and others a folder in the warehouse."""
+    """The folder that all executors share: spark.checkpoint.dir.  Only local sessions may do without, in a temporary folder; on a cluster that is an error, as each executor would write to its own disk."""
     if path := spark.conf.get("spark.checkpoint.dir", None):
         return path
     sc = spark.sparkContext
     if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not getattr(sc, "_lakehone_work", None):
         sc._lakehone_work = "file://" + tempfile.mkdtemp(prefix="lakehone-")
     return sc._lakehone_work
 
 
-def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it again: lineage ends there and survives a lost executor."""
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any store that Spark reaches."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """What operators write to the shared folder inside is deleted at the end: what is still needed must have been written elsewhere by then."""
+    path = f"{work_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    try:
+        yield
+    finally:
+        _scratch.remove(path)
+        remove(spark, path)
+
+
+def written(df: DataFrame, path: str, codec: str = "zstd") -> DataFrame:
+    """df written as Parquet to a path and read again."""
     spark = df.sparkSession
-    path = f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """Writes df as Parquet into the shared folder and reads it again: lineage ends there and survives a lost executor.
+
+    The files stay for as long as the results of an operator may need them: until the scratch() around it ends, or the shared folder is cleared.
+    """
+    folder = _scratch[-1] if _scratch else work_dir(df.sparkSession).rstrip("/")
+    return written(df, f"{folder}/{name}-{uuid.uuid4().hex}", codec)
+
+
 @contextlib.contextmanager
 def interpreted(spark: SparkSession):
     """Without whole-stage code: loops of many plans over few rows else fill the driver's memory with compiled classes."""
-    key = "spark.sql.codegen.wholeStage"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
+    with options(spark, codegen__wholeStage="false"):
         yield
-    finally:
-        spark.conf.set(key, before)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -81,7 +122,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered up to a bound."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -112,8 +153,11 @@ def components(edges: DataFrame) -> DataFrame:
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    with interpreted(edges.sparkSession):
-        e = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    spark = edges.sparkSession
+    folder = f"{_scratch[-1] if _scratch else work_dir(spark).rstrip('/')}/edges-{uuid.uuid4().hex}"
+    with interpreted(spark):
+        step = 0
+        e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{folder}/0")
         seen = mark(e)
         while seen[0]:
             both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -121,7 +165,9 @@ def components(edges: DataFrame) -> DataFrame:
             large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
             least = large.groupBy("u").agg(F.min("v").alias("m"))
             small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-            e = materialize(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+            step += 1
+            e = written(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{folder}/{step}")
+            remove(spark, f"{folder}/{step - 1}")
             if (now := mark(e)) == seen:
                 break
             seen = now

@@ -10,7 +10,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
 
 WINDOW = 256
 #: Windows that the network is trained on, and documents that they are drawn from (at most WINDOWS_EACH of one), at most.
@@ -133,14 +132,16 @@ def held_out(doc_id) -> F.Column:
 def fit(docs: DataFrame) -> Network:
     """A network from text and lang of rows of docs (text, lang) with lang known and a letter in the text.
 
-    From at most SAMPLE_DOCS rows, drawn by hash with about as many of each language; at most WINDOWS_EACH windows of each, anywhere in the text.
+    From at most SAMPLE_DOCS different texts, drawn by hash with about as many of each language; at most WINDOWS_EACH windows of each, anywhere in
+    the text.  Copies of a text count once; a text with two languages counts for both.  Rows without lang, text or a letter teach nothing; from
+    an empty table nothing is learned; other columns are ignored.
     """
     known = docs.where("lang is not null and text is not null").select("lang", F.xxhash64("text").alias("h"), "text")
-    counts = known.groupBy("lang").count()
-    drawn = known.join(counts, "lang").withColumn("draw", F.pmod("h", F.lit(1 << 40)).cast("double") * F.col("count"))
-    # Texts stay on the executors: the rows that are drawn are known by hash.
-    ids = drawn.select("h", "draw", "lang").orderBy("draw", "h", "lang").limit(SAMPLE_DOCS).select("h").distinct()
-    chosen = known.join(F.broadcast(ids), "h", "left_semi").select("lang", "h", "text")
+    once = known.select("lang", "h").distinct()
+    drawn = once.join(once.groupBy("lang").count(), "lang").withColumn("draw", F.pmod("h", F.lit(1 << 40)).cast("double") * F.col("count"))
+    # Texts stay on the executors: those that are drawn are known by hash.
+    ids = drawn.orderBy("draw", "h", "lang").limit(SAMPLE_DOCS).select("h", "lang")
+    chosen = known.join(F.broadcast(ids), ["h", "lang"], "left_semi").dropDuplicates(["h", "lang"]).select("lang", "h", "text")
 
     def cut(batches):
         for batch in batches:
@@ -170,7 +171,6 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
     `und` with score 0 if the text is null or has no letter, or nothing could be learned; ties go to the language first by code point; rows
     that repeat, repeat; an empty table gives an empty result; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
     kind = docs.schema["doc_id"].dataType.simpleString()
 

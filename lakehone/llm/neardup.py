@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, fresh, hashable, interpreted, materialize, rolled, small_batches
+from .common import WordHashes, components, fresh, hashable, interpreted, materialize, rolled
 
 #: Values that a sketch retains.
 K = 32
@@ -70,7 +70,6 @@ BIT_FIELDS = ", ".join(f"{b} long" for b in BITS)
 
 def sketched(docs: DataFrame, words: int, k: int, rows: bool = False) -> DataFrame:
     """doc_id, th (hash of the text), rh (with `rows`: of the whole row), sig (128-bit digest of the set), n, bits and parities, sketch."""
-    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

@@ -47,7 +47,6 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def token_ids(docs: DataFrame, path: str, end: int | None) -> DataFrame:
     """doc_id, n, ids (16-bit little-endian if the vocabulary allows, else 32-bit), h (their checksum)."""
-    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -120,7 +119,8 @@ def write(docs: DataFrame, target: str, path: str | None = None, end: int | None
             yield block()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ordered.select("doc_id", "n", "ids", "shard").mapInArrow(blocks, f"shard int, block int, doc_ids array<{kind}>, lengths binary, n long, control binary, data binary").write.option("compression", "lz4_raw").parquet(f"{target}/blocks")
+    with small_batches(spark):
+        ordered.select("doc_id", "n", "ids", "shard").mapInArrow(blocks, f"shard int, block int, doc_ids array<{kind}>, lengths binary, n long, control binary, data binary").write.option("compression", "lz4_raw").parquet(f"{target}/blocks")
 
 
 def read(spark, target: str, digest: bool = False) -> DataFrame:

@@ -77,6 +77,12 @@ def check_mix(out, docs):
     have = sorted(set(zip(got.source_size, got.target)))
     assert np.allclose(np.array(sorted(set(want))), np.array(have))
     assert abs(got.taken.sum() - total) <= len(sizes)
+    # Each source's words come to its target.
+    own = rows.assign(key=[str(k) for k in key]).groupby("key")["size"].sum()
+    targets = {str(k): float(2 * s if i in capped else weights[i] * unit) for i, (k, s) in enumerate(sizes.items())}
+    if rows.doc_id.is_unique:
+        by = got.merge(rows.assign(key=[str(k) for k in key])[["doc_id", "key"]], on="doc_id").groupby("key").taken.sum()
+        assert all(abs(by[k] - targets[k]) <= 1 for k in own.index)
 
 
 def test_mix(docs, odd, empty):
@@ -378,6 +384,42 @@ def test_language(spark, sf, docs, odd, empty):
     assert langid.identify(empty, net).count() == 0
 
 
+def slow_forward(net, text):
+    """The network of one text, byte by byte and filter by filter."""
+    raw = text.encode()
+    total = np.zeros(len(net.labels))
+    for at in range(0, len(raw), langid.WINDOW):
+        window = raw[at : at + langid.WINDOW]
+        padded = list(window) + [0] * (langid.WINDOW - len(window))
+        e = [net.p["e"][b].astype(float) for b in padded] + [np.zeros(langid.EMBED)] * (max(langid.WIDTHS) - 1)
+        top = []
+        for f in range(net.p["w"].shape[1]):
+            w = net.p["w"][:, f].astype(float).reshape(-1, langid.EMBED)
+            top.append(max(0.0, max(sum(float(w[j] @ e[i + j]) for j in range(len(w))) for i in range(langid.WINDOW)) + float(net.p["b"][f])))
+        z = np.array(top) @ net.p["v"] + net.p["c"]
+        z = np.exp(z - z.max())
+        total += z / z.sum() * np.count_nonzero(np.frombuffer(window, np.uint8))
+    return net.labels[int(total.argmax())], total.max() / total.sum()
+
+
+def test_language_forward(docs):
+    net = langid.fit(docs.where(~langid.held_out("doc_id")))
+    texts = [r.text for r in docs.where("text is not null").limit(3).collect()]
+    for text, (lang, score) in zip(texts, net.predict([t[:600] for t in texts])):
+        want, share = slow_forward(net, text[:600])
+        assert lang == want and abs(score - share) < 1e-4
+
+
+def test_language_copies(spark):
+    """A text with thousands of copies is one text of the sample."""
+    rng = np.random.default_rng(2)
+    words_ = {"xx": ["ka", "lo", "mi", "ru"], "yy": ["sch", "ung", "ein", "der"]}
+    rows = [(i, "ka ka ka", "xx") for i in range(3000)]
+    rows += [(5000 + i, " ".join(rng.choice(words_[lang], 30)), lang) for i in range(400) for lang in ("xx", "yy")]
+    net = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [x for x, _ in net.predict([" ".join(words_["xx"] * 5), " ".join(words_["yy"] * 5)])] == ["xx", "yy"]
+
+
 # 5
 
 
@@ -476,6 +518,22 @@ def test_chunks_are_reused_and_joined():
     assert codec.reused > 3 * codec.encoded / 2
 
 
+def test_chunks_of_any_script():
+    codec = bpe.Codec(bpe.default_tokenizer())
+    rng = np.random.default_rng(5)
+    russian = " ".join("".join(rng.choice(list("абвгдежзиклмнопрст"), rng.integers(1, 9))) for _ in range(3000))
+    japanese = "".join("".join(rng.choice(list("日本語東京大人口水火木金土あいうえおかき"), rng.integers(3, 20))) + str(rng.choice(["。", "、"])) for _ in range(2500))
+    for shared in (russian, japanese):
+        codec.reused = codec.encoded = 0
+        texts = [f"{i} " + shared + f" {i}" for i in range(4)]
+        assert all(codec.encode(t).tolist() == reference_ids(t)[0] for t in texts)
+        assert codec.reused > codec.encoded
+    parts = ["a", "é", " ", "  ", "\u2003", "\u00a0", "1", "。", "日", "\n", "'ll", "б", "-", "\U0001d4b3", " b"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts, int(rng.integers(200, 900))))
+        assert codec.encode(text).tolist() == reference_ids(text)[0]
+
+
 def test_token_files(spark, docs, odd, empty, tmp_path):
     table = docs.unionByName(odd.select(docs.columns))
     rows = [(r.doc_id, np.array([*reference_ids(r.text)[0], 2], "<u4")) for r in table.collect()]
@@ -603,6 +661,13 @@ def test_quality(spark, docs, odd, empty, sf):
     assert (sound.kept == (sound.quality == 1)).mean() > 0.95
     assert quality.assess(empty, labels).count() == 0
     assert quality.assess(docs, labels.where("false")).where("kept = base_failed").count() == 0
+    # Labels that the threshold was not fitted on.
+    whole = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    every = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    other = quality.assess(whole, every.where(half)).toPandas().merge(every.where(~half).toPandas(), on="doc_id")
+    other = other[~other.base_failed]
+    assert len(other) > 100 and (other.kept == (other.quality == 1)).mean() > 0.95
     kept = quality.assess(docs, labels, keep=docs.columns)
     assert kept.schema == docs.schema and kept.count() == quality.assess(docs, labels).where("kept").count()
 
@@ -762,6 +827,47 @@ def test_pipeline(spark, sf, docs):
     assert collections.Counter(zip(out.doc_id, out.n_tokens, out.ids_sha256, out.decoded_sha256)) == want
 
 
+def test_pipeline_odd(spark, tmp_path, monkeypatch):
+    """Odd rows and clashing columns go through all stages; an empty table gives no rows; intermediates are deleted."""
+    import os
+
+    import corpus_pipeline
+    from lakehone.llm import common
+
+    more = {c: F.lit(1) for c in ("h_", "th_", "rh_", "slot_", "place_", "end_", "part_", "many_", "again", "copies", "taken", "score")}
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    for name, rows in (("odd", [(i, t if t is None else t + " " + " ".join(f"q{i}w{j}" for j in range(60)), *rest) for i, t, *rest in ODD]), ("empty", [])):
+        sf = f"{tmp_path}/{name}"
+        os.makedirs(sf)
+        spark.createDataFrame(rows, SCHEMA).withColumns(more).write.parquet(f"{sf}/documents.parquet")
+        labels.write.parquet(f"{sf}/labels.parquet")
+        for module in (common, corpus_pipeline):
+            monkeypatch.setattr(module, "work_dir", lambda _, path=f"file://{tmp_path}/shared-{name}": path)
+        batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        out = corpus_pipeline.run(spark, sf).collect()
+        left = [x for x in os.listdir(f"{tmp_path}/shared-{name}") if not x.startswith(".")]
+        assert len(left) == 1 and left[0].startswith("mix-sources")
+        mixed = spark.read.parquet(f"{tmp_path}/shared-{name}/{left[0]}")
+        assert mixed.columns == spark.read.parquet(f"{sf}/documents.parquet").columns and mixed.count() == len(out)
+        assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch
+        assert (len(out) > 0) == (name == "odd")
+        ids = [r.doc_id for r in out]
+        assert set(ids) <= {r[0] for r in ODD}
+
+
+def test_shared_folder(spark, monkeypatch):
+    from lakehone.llm import common
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.work_dir(Session())
+
+
 # SQL
 
 
