@@ -16,6 +16,11 @@ def list_hash(*parts: Column) -> Column:
     return F.sha2(F.concat(F.lit("["), F.concat_ws(", ", *parts), F.lit("]")), 256)
 
 
+def row_key(*parts: Column) -> Column:
+    """SHA-256 of a compact JSON list of texts."""
+    return F.sha2(F.to_json(F.array(*(p.cast("string") for p in parts))), 256)
+
+
 def quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), text.cast("string"), F.lit('"'))
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import jsons, mcq, metrics, text
+from .functions import answers, jsons, mcq, metrics, text
 from .operators import conversations, dedup, overlap, review, rollups, sampling
-from .plans import judge, prepare, runs
+from .plans import curate, judge, prepare, runs
 from .sources import readers, tasks
 
 QUERIES, ORACLES = {}, {}
@@ -113,13 +113,16 @@ def exact_overlap(spark, sf):
 ASSEMBLED = "(select conv_id, list(struct_pack(role := role, text := text) order by turn) as m from conversations group by conv_id)"
 
 
-@query(f"""select conv_id, array_to_string(list_sort(list_filter([
+CODES = """list_sort(list_filter([
 case when len(list_filter(m, lambda x: x.role not in ('system', 'developer', 'user', 'assistant', 'tool'))) > 0 then 'invalid_role' end,
 case when len(list_filter(m, lambda x: x.role = 'user' and trim(coalesce(x.text, '')) = '' or x.role in ('system', 'developer', 'tool') and x.text is null)) > 0 then 'invalid_message_content' end,
 case when len(list_filter(m, lambda x: x.role = 'assistant' and trim(coalesce(x.text, '')) = '')) > 0 then 'empty_assistant' end,
 case when len(list_filter(m, lambda x: x.role = 'user')) = 0 then 'missing_user' end,
 case when len(list_filter(m, lambda x: x.role = 'assistant')) = 0 then 'missing_assistant' end,
-case when m[-1].role <> 'assistant' then 'final_message_not_assistant' end], lambda x: x is not null)), ',') as reasons from {ASSEMBLED}""")
+case when m[-1].role <> 'assistant' then 'final_message_not_assistant' end], lambda x: x is not null))"""
+
+
+@query(f"""select conv_id, array_to_string({CODES}, ',') as reasons from {ASSEMBLED}""")
 def conversation_reasons(spark, sf):
     rows = conversations.assembled(read(spark, sf, "conversations"))
     return rows.select("conv_id", F.array_join(conversations.reasons(F.col("messages")), ",").alias("reasons"))
@@ -557,3 +560,83 @@ def prepare_decisions(spark, sf):
     marks = docs.where("toxic = 1").select(text.overlap_key("text").alias("hash"), F.lit("toxic").alias("name")).distinct()
     out = prepare.decided(rows, marks, 42, 0.05)
     return out.select("doc_id", "decision", F.array_join("reasons", ",").alias("reason"), "split", "duplicate_of", F.array_join("benchmark_matches", ",").alias("matched"))
+
+
+@query(r"""select item_id, sha256(regexp_replace(text, '([^\\\P{P}]|[`÷×<>^~¦+|ـ])', ' \1 ', 'g')) as apart from benchmark""")
+def punctuation_apart(spark, sf):
+    return read(spark, sf, "benchmark").select("item_id", F.sha2(answers.apart(F.col("text")), 256).alias("apart"))
+
+
+@query(r"""select conv_id, turn, sha256(lower(trim(regexp_replace(regexp_replace(text, '[^\p{L}\p{N}\p{M}_\s]', ' ', 'g'), '\s+', ' ', 'g')))) as plain from conversations where text is not null""")
+def plain_answers(spark, sf):
+    return read(spark, sf, "conversations").where("text is not null").select("conv_id", "turn", F.sha2(answers.plain_answer(F.col("text")), 256).alias("plain"))
+
+
+@query(r"""with l as (select conv_id, turn, regexp_replace(trim(string_split(trim(text, e' \t\n\r'), chr(10))[1], e' \t\n\r'), '[^\p{L}\p{N}_\s]+$', '') as line from conversations where text is not null),
+w as (select *, list_filter(regexp_split_to_array(line, '\s+'), lambda x: x <> '') as w from l)
+select conv_id, turn, case when regexp_matches(line, '^[^:]+:\s*\S') and regexp_matches(lower(regexp_extract(line, '^([^:]+):', 1)), 'answer|response|result|choice|option|الإجابة|الجواب') then regexp_replace(regexp_extract(line, '^[^:]+:\s*(\S+)', 1), '[^\p{L}\p{N}_\s]', '', 'g')
+when len(w) <= 3 then line else regexp_replace(w[1], '[^\p{L}\p{N}_\s]', '', 'g') end as leading from w""")
+def leading_answers(spark, sf):
+    return read(spark, sf, "conversations").where("text is not null").select("conv_id", "turn", answers.leading_words("text").alias("leading"))
+
+
+@query("""select p_partkey, case p_partkey % 5 when 0 then p_type when 1 then p_brand when 2 then 'Z' when 3 then 'neither' else '' end as answer from part""")
+def option_texts(spark, sf):
+    """Letters of options as their texts, other answers as they are."""
+    given = F.get(F.array(F.lit("A"), F.lit(" b) "), F.lit("Z"), F.lit("neither"), F.lit(None)), (F.col("p_partkey") % 5).cast("int"))
+    options = F.create_map(F.lit("A"), F.col("p_type"), F.lit("B"), F.col("p_brand"))
+    return read(spark, sf, "part").select("p_partkey", answers.option_text(given, options).alias("answer"))
+
+
+@query("""select doc_id, case when quality = 1 then 0.5 else 0.25 end::double as ngram, toxic::double as mcq from labels""")
+def score_keys(spark, sf):
+    """rougeLsum stands before bleu; accuracy is the score of choices."""
+    score = lambda c: F.col(c).cast("double")
+    both = F.create_map(F.lit("bleu"), F.lit(0.25), F.lit("rougeLsum"), F.lit(0.5), F.lit("accuracy"), score("toxic"))
+    one = F.create_map(F.lit("bleu"), F.lit(0.25), F.lit("accuracy"), score("toxic"))
+    found = read(spark, sf, "labels").select("doc_id", answers.score_columns(F.when(F.col("quality") == 1, both).otherwise(one)).alias("s"))
+    return found.select("doc_id", F.col("s.nGramScore").alias("ngram"), F.col("s.mcqScore").alias("mcq"))
+
+
+@query(r"""select page_id, left(regexp_replace(trim(lower(url)), '[ ./]', '_', 'g'), 255) as name from pages""")
+def id_names(spark, sf):
+    return read(spark, sf, "pages").select("page_id", answers.file_names("url").alias("name"))
+
+
+@query("""select doc_id, sha256('["' || coalesce(source, 'none') || '","' || coalesce(lang, 'none') || '","' || doc_id || '"]') as key from documents""")
+def row_keys(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", sampling.row_key(F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id")).alias("key"))
+
+
+# Whole procedures over conversations.
+
+
+def raw_rows(spark, sf):
+    """Conversations as raw rows of one dialogue dataset."""
+    rows = conversations.assembled(read(spark, sf, "conversations"))
+    plain = {"dataset": "talk", "repo": "own/talk", "revision": "r1", "config": "default", "kind": "dialogue", "original_split": "train", "source": "forum", "task": "chat", "tools_json": "[]", "dialect": "plain"}
+    return rows.select(F.col("conv_id").alias("row_index"), F.to_json("messages").alias("messages_json"), F.lit(False).alias("preserved"), F.lit(True).alias("labeled"), *(F.lit(v).alias(k) for k, v in plain.items()))
+
+
+STORED = "list_transform({}, lambda x: struct_pack(content := x.text, role := x.role))"
+
+
+@query(f"""with c as (select conv_id, m, {CODES} as codes from {ASSEMBLED})
+select sha256('own/talk@r1:default:train:' || conv_id) as id, array_to_string(codes, ',') as problems, case when len(codes) = 0 then sha256('{{"messages":' || to_json({STORED.format('m')})::varchar || ',"tools":[]}}') end as example_hash,
+case when len(codes) = 0 then sha256('{{"messages":' || to_json({STORED.format("m[1:len(m) - 1]")})::varchar || ',"tools":[]}}') end as input_hash, 'plain' as dialect from c""")
+def prepared_rows(spark, sf):
+    """Identity, problems and fingerprints of each conversation as a row of a dataset; a sound one ends with the assistant."""
+    rows = prepare.prepared(raw_rows(spark, sf))
+    return rows.select("id", F.array_join(F.array_sort("problems"), ",").alias("problems"), "example_hash", "input_hash", F.get_json_object("metadata_json", "$.dialect").alias("dialect"))
+
+
+@query(f"""with c as (select conv_id, {CODES} as codes, len(list_filter(m, lambda x: contains(coalesce(x.text, ''), chr(65533)))) > 0 as odd, len(list_filter(m, lambda x: x.role = 'system')) > 0 as watched from {ASSEMBLED})
+select conv_id, case when len(codes) > 0 then 'exclude' when odd then 'repair' when watched then 'review' else 'accept' end as decision,
+case when len(codes) > 0 then array_to_string(list_sort(list_concat(codes, case when watched then ['watched_source'] else [] end)), ',') when odd or watched then array_to_string(list_sort(list_filter([case when odd then 'replacement_character_present' end, case when watched then 'watched_source' end], lambda x: x is not null)), ',') else 'offline_checks_passed' end as reasons,
+'plain' as dialect, 'offline_rules' as scope from c""")
+def curated_conversations(spark, sf):
+    """Decision and reasons of curation for each conversation; those with a system message come from a source that is watched."""
+    rows = raw_rows(spark, sf).withColumns({"id": F.col("row_index").cast("string"), "is_labeled": F.lit(True), "split": F.lit("train"), "metadata_json": F.lit('{"dialect": "plain"}')})
+    rows = rows.withColumn("source", F.when(F.col("messages_json").contains('"role":"system"'), "watched").otherwise("forum"))
+    out = curate.curated(rows, ["replacement_character_present"], {"watched": "watched_source"}, {})
+    return out.select(F.col("id").cast("long").alias("conv_id"), "decision", F.array_join("reasons", ",").alias("reasons"), "dialect", "scope")
