@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 
 #: A boundary becomes a cut if the hash of the bytes before it has these bits at zero: about every 2,000 bytes.
 CUT_MASK = np.uint64(255)
+#: Bytes that letters may have.
+LETTER = np.array([chr(i).isalpha() if i < 128 else True for i in range(256)])
 #: Bytes of chunks that a Python worker remembers.
 CACHE_BYTES = 24_000_000
 #: Scripts whose letters, digits and white space all Unicode versions in use agree on; other texts take the library's own way.
@@ -71,7 +73,7 @@ class Codec:
     def direct(self, text: str) -> np.ndarray:
         if self.fast is None or not text.isascii() and PLAIN.search(text) or any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array(self.fast.encode_ordinary(text), np.uint32)
+        return self.fast.encode_to_numpy(text, disallowed_special=())
 
     def cuts(self, text: str) -> tuple[bytes, np.ndarray, list[int]]:
         """The text's bytes, the places where it could be cut (at one space between letters, behind an ideographic stop), and which of them it is cut at."""
@@ -80,19 +82,19 @@ class Codec:
             return raw, np.zeros(0, np.int64), []
         b = np.frombuffer(raw, np.uint8)
         # What is no letter among the bytes beyond ASCII is found where chunks are joined.
-        letter = (((b | 32) >= 97) & ((b | 32) <= 122)) | (b >= 128)
-        place = (b[8:-1] == 32) & letter[7:-2] & letter[9:]
-        if not text.isascii():
-            stop = (b[7:-2] == 0x81) | (b[7:-2] == 0x82)
-            place |= stop & (b[6:-3] == 0x80) & (b[5:-4] == 0xE3) & (b[8:-1] >= 0xC0)
-        at = np.flatnonzero(place) + 8
-        # Stops are rarer than spaces.
-        mask = np.where(b[at] == 32, CUT_MASK, CUT_MASK >> np.uint64(3))
-        h = np.zeros(len(at), np.uint64)
-        for i in range(1, 9):
-            h = h * np.uint64(0x100000001B3) + b[at - i]
-        h ^= h >> np.uint64(29)
-        return raw, at, np.flatnonzero((h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) & mask == 0).tolist()
+        at = np.flatnonzero(b[8:-1] == 32) + 8
+        at = at[LETTER[b[at - 1]] & LETTER[b[at + 1]]]
+        mask = CUT_MASK
+        if not text.isascii() and b"\xe3\x80" in raw:
+            stop = np.flatnonzero(b[5:-4] == 0xE3) + 8
+            stop = stop[(b[stop - 2] == 0x80) & ((b[stop - 1] == 0x81) | (b[stop - 1] == 0x82)) & (b[stop] >= 0xC0)]
+            at = np.union1d(at, stop)
+            # Stops are rarer than spaces.
+            mask = np.where(b[at] == 32, CUT_MASK, CUT_MASK >> np.uint64(3))
+        # The eight bytes before each place as one number.
+        h = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))[at - 8]
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+        return raw, at, np.flatnonzero((h >> np.uint64(40)) & mask == 0).tolist()
 
     def chunk(self, text: str) -> np.ndarray:
         if (ids := self.cache.get(text)) is not None:
