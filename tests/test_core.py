@@ -19,7 +19,7 @@ from lakehone.operators import conversations, dedup, sampling
 from lakehone.plans import curate, judge, prepare
 from lakehone.sources import readers, sinks
 
-TABLES = "documents embeddings pages benchmark labels conversations events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")
@@ -337,7 +337,7 @@ def test_sources(spark, sf, tmp_path):
         z.writestr("x/t.json", json.dumps({"task": "t", "metric": "bleu", "json": {"data": {"dev": [{"id": "1", "input": "i", "output": ["a", " "]}, {"id": "2", "input": "i", "output": " b "}]}}}))
         z.writestr("x/readme.md", "no")
     got = readers.evaluation_rows(readers.zip_members(spark, str(tmp_path / "z.zip"))).collect()
-    assert [(r.task, r.metric, r.id, r.references) for r in got] == [("t", "bleu", "1", ["a"]), ("t", "bleu", "2", ["b"])]
+    assert [(r.task, r.metric, r.id, r.references) for r in got] == [("t", "bleu", "z:x/t.json:1", ["a"]), ("t", "bleu", "z:x/t.json:2", ["b"])]
     with zipfile.ZipFile(tmp_path / "bad.zip", "w") as z:
         z.writestr("../t.json", "{}")
     with pytest.raises(Exception, match="not acceptable"):
