@@ -12,6 +12,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import lower_batches
+
 
 #: A boundary becomes a cut if the hash of the bytes before it has these bits at zero: about every 2,000 bytes.
 CUT_MASK = np.uint64(255)
@@ -167,6 +169,7 @@ def codec(path: str) -> Codec:
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids (array of int).  A null text is encoded as the empty one; other columns are ignored; rows that repeat, repeat."""
     path = path or default_tokenizer()
+    lower_batches(docs.sparkSession)
 
     def run(batches):
         c = codec(path)
@@ -200,6 +203,7 @@ def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False)
     A null text is the empty one, without tokens; rows that repeat, repeat; an empty table gives an empty result; other columns are ignored.
     """
     path = path or default_tokenizer()
+    lower_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

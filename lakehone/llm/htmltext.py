@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lower_batches, materialize
 
 NAME = re.compile(r"[A-Za-z][^\s/>]*+")
 #: One attribute after a tag's name: its name, and its value in double quotes, in single ones or bare.
@@ -232,6 +232,7 @@ def extract(pages: DataFrame, few: int = FEW) -> DataFrame:
     repeat; an empty table gives an empty result; other columns are ignored.
     """
     spark = pages.sparkSession
+    lower_batches(spark)
     kinds = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
     host = F.when(host != "", F.xxhash64(host))

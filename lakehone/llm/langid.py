@@ -10,6 +10,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lower_batches
+
 
 WINDOW = 256
 #: Windows that the network is trained on, and documents that they are drawn from (at most WINDOWS_EACH of one), at most.
@@ -171,6 +173,7 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
     `und` with score 0 if the text is null or has no letter, or nothing could be learned; ties go to the language first by code point; rows
     that repeat, repeat; an empty table gives an empty result; other columns are ignored.
     """
+    lower_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec, default_tokenizer
-from .common import materialize, small_batches
+from .common import lower_batches, materialize, small_batches
 
 #: Documents of one block of a file.
 BLOCK_DOCS = 256
@@ -125,6 +125,7 @@ def write(docs: DataFrame, target: str, path: str | None = None, end: int | None
 
 def read(spark, target: str, digest: bool = False) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids (array of int), or with `digest` ids_crc32, from token files."""
+    lower_batches(spark)
     blocks = spark.read.parquet(f"{target}/blocks")
     by_rank = np.frombuffer(bytes(spark.read.parquet(f"{target}/ranks").first().ids), "<u4")
     # A row for each shard: their number is that of the files.

@@ -839,13 +839,13 @@ def test_pipeline_odd(spark, tmp_path, monkeypatch):
         labels.write.parquet(f"{sf}/labels.parquet")
         for module in (common, corpus_pipeline):
             monkeypatch.setattr(module, "work_dir", lambda _, path=f"file://{tmp_path}/shared-{name}": path)
-        batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        before = {k: spark.conf.get(f"spark.sql.{k}") for k in ("codegen.wholeStage", "requireAllClusterKeysForCoPartition", "shuffle.partitions")}
         out = corpus_pipeline.run(spark, sf).collect()
         left = [x for x in os.listdir(f"{tmp_path}/shared-{name}") if not x.startswith(".")]
         assert len(left) == 1 and left[0].startswith("mix-sources")
         mixed = spark.read.parquet(f"{tmp_path}/shared-{name}/{left[0]}")
         assert mixed.columns == spark.read.parquet(f"{sf}/documents.parquet").columns and mixed.count() == len(out)
-        assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch
+        assert before == {k: spark.conf.get(f"spark.sql.{k}") for k in before}
         assert (len(out) > 0) == (name == "odd")
         ids = [r.doc_id for r in out]
         assert set(ids) <= {r[0] for r in ODD}
