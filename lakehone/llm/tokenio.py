@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec, default_tokenizer
-from .common import lower_batches, materialize, small_batches
+from .common import lower_batches, materialize, scratch, small_batches
 
 #: Documents of one block of a file.
 BLOCK_DOCS = 256
@@ -66,14 +66,19 @@ def token_ids(docs: DataFrame, path: str, end: int | None) -> DataFrame:
 def write(docs: DataFrame, target: str, path: str | None = None, end: int | None = 2, shards: int | None = None) -> None:
     """Writes all documents' ids as token files under `target`, in ascending doc_id order (null first, then by their ids).
 
-    target/ranks maps ranks to ids.  target/blocks holds, for each shard and block, doc ids, lengths, control bytes and data bytes.
+    target/ranks maps ranks to ids.  target/blocks holds, for each shard and block, the ids before it in the shard, doc ids, lengths, control bytes and data bytes.
     A null text is the empty one; rows that repeat are written again; an empty table gives no block; other columns are ignored.
     Ids are ranked by frequency over all documents, ties to the smaller id, so the frequent ones take one byte.
     """
     spark, path = docs.sparkSession, path or default_tokenizer()
     size = len(codec(path).pieces)
     width = 2 if size <= 65536 and (end is None or end < 65536) else 4
-    rows = materialize(token_ids(docs, path, end), "ids", "lz4_raw")
+    with scratch(spark):
+        _write(spark, materialize(token_ids(docs, path, end), "ids", "lz4_raw"), target, size, width, shards)
+
+
+def _write(spark, rows: DataFrame, target: str, size: int, width: int, shards: int | None) -> None:
+    """Ranks and blocks of rows (doc_id, n, ids, h)."""
 
     def count(batches):
         total = np.zeros(size, np.int64)
@@ -95,14 +100,15 @@ def write(docs: DataFrame, target: str, path: str | None = None, end: int | None
 
     def blocks(batches):
         held: list[tuple] = []
-        number = 0
+        number = first = 0
 
         def block():
-            nonlocal number
+            nonlocal number, first
             ids = rank[np.frombuffer(b"".join(r[2] for r in held), f"<u{width}")]
             control, data = pack(ids)
-            out = pa.RecordBatch.from_arrays([pa.array([held[0][3]], pa.int32()), pa.array([number], pa.int32()), pa.array([[r[0] for r in held]], pa.list_(kind)), pa.array([np.array([r[1] for r in held], "<u4").tobytes()]), pa.array([len(ids)], pa.int64()), pa.array([control]), pa.array([data])], ["shard", "block", "doc_ids", "lengths", "n", "control", "data"])
+            out = pa.RecordBatch.from_arrays([pa.array([held[0][3]], pa.int32()), pa.array([number], pa.int32()), pa.array([first], pa.int64()), pa.array([[r[0] for r in held]], pa.list_(kind)), pa.array([np.array([r[1] for r in held], "<u4").tobytes()]), pa.array([len(ids)], pa.int64()), pa.array([control]), pa.array([data])], ["shard", "block", "first", "doc_ids", "lengths", "n", "control", "data"])
             number += 1
+            first += len(ids)
             held.clear()
             return out
 
@@ -118,9 +124,9 @@ def write(docs: DataFrame, target: str, path: str | None = None, end: int | None
         if held:
             yield block()
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = rows.schema["doc_id"].dataType.simpleString()
     with small_batches(spark):
-        ordered.select("doc_id", "n", "ids", "shard").mapInArrow(blocks, f"shard int, block int, doc_ids array<{kind}>, lengths binary, n long, control binary, data binary").write.option("compression", "lz4_raw").parquet(f"{target}/blocks")
+        ordered.select("doc_id", "n", "ids", "shard").mapInArrow(blocks, f"shard int, block int, first long, doc_ids array<{kind}>, lengths binary, n long, control binary, data binary").write.option("compression", "lz4_raw").parquet(f"{target}/blocks")
 
 
 def read(spark, target: str, digest: bool = False) -> DataFrame:
@@ -128,12 +134,9 @@ def read(spark, target: str, digest: bool = False) -> DataFrame:
     lower_batches(spark)
     blocks = spark.read.parquet(f"{target}/blocks")
     by_rank = np.frombuffer(bytes(spark.read.parquet(f"{target}/ranks").first().ids), "<u4")
-    # A row for each shard: their number is that of the files.
+    # A row for each shard: their number is that of the files.  A block knows its place in its shard, so blocks are not shuffled.
     shards = blocks.groupBy("shard").agg(F.sum("n").alias("n"))
     starts = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("shard_start"))
-    inside = Window.partitionBy("shard").orderBy("block")
-    before = blocks.select("shard", "block", (F.sum("n").over(inside) - F.col("n")).alias("before")).join(F.broadcast(starts), "shard")
-    before = before.select("shard", "block", (F.col("before") + F.col("shard_start")).alias("first"))
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches):
@@ -149,5 +152,6 @@ def read(spark, target: str, digest: bool = False) -> DataFrame:
                     last, name = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.astype(np.int32))), "ids"
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, batch.schema.field(0).type.value_type), pa.array(ends - size + first), pa.array(size), last], ["doc_id", "start", "n_tokens", name])
 
-    found = blocks.join(before, ["shard", "block"]).select("doc_ids", "lengths", "n", "control", "data", "first")
+    placed = blocks.join(F.broadcast(starts), "shard").withColumn("first", F.col("first") + F.col("shard_start"))
+    found = placed.select("doc_ids", "lengths", "n", "control", "data", "first")
     return found.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids array<int>"))
