@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from .common import WordHashes, lower_batches, mix64, rolled, small_batches
 
 GRAM, BUCKETS = 4, 1 << 16
-#: Labelled documents that the target model and the threshold are fitted on, at most; the raw model counts all documents.
-TRUSTED, JUDGED = 20_000, 20_000
 SPACES = bytes(i for i in range(256) if i == 0x20 or 9 <= i <= 13)
 
 
@@ -65,45 +63,98 @@ def counted(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def sampled(docs: DataFrame, labels: DataFrame, quality: int, bound: int) -> DataFrame:
-    """Texts of at most `bound` documents with this label (of the rows agreed: all labels of the document say so), those of the smallest hash."""
-    ids = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high")).where((F.col("low") == quality) & (F.col("high") == quality))
-    ids = ids.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").where("text is not null")
+def agreed(labels: DataFrame) -> DataFrame:
+    """doc_id, quality of every document labelled 0 or 1, where all labels of the document say the same."""
+    ids = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("high"))
+    return ids.where("quality = high and quality in (0, 1)").select("doc_id", "quality")
 
 
-def scores(docs: DataFrame, ratio: np.ndarray) -> np.ndarray:
-    """Scores of a bounded set of documents."""
+def labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of docs that have a label, with it: labels grow with the documents, so both are shuffled, and the hash table is of labels."""
+    return docs.join(known.hint("shuffle_hash"), "doc_id")
+
+
+def scored(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """doc_id, score of every document with a text."""
+    shared = docs.sparkSession.sparkContext.broadcast(ratio)
+
     def run(batches):
+        ratio = shared.value
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([float(ratio[grams(t.encode())].mean()) for t in batch.column(0).to_pylist()], pa.float64())], ["score"])
+            found = [float(ratio[grams(t.encode())].mean()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(run, f"doc_id {kind}, score double")
 
-    return docs.select("text").mapInArrow(run, "score double").toArrow()["score"].to_numpy()
+
+def threshold(rows: DataFrame) -> float:
+    """Where fewest of all rows (score, quality 0 or 1) are wrong, one of quality 1 counting ten times, in the middle of the widest gap, of equal ones the lowest; without quality 0 nothing is below it.
+
+    Scores are dealt to tasks by range; of each range come its ends, its sums and its best gap, so that no list of scores reaches the driver.
+    """
+    names = ["first", "last", "cost", "bad", "least", "width", "edge"]
+
+    def run(batches):
+        # Costs are relative to the start of the range: each 1 below an edge adds ten, each 0 takes one off.
+        first = last = None
+        cost, bad, best = 0, 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at, good, poor = (batch.column(i).to_numpy() for i in range(3))
+            step = 10 * good - poor
+            before = cost + np.concatenate([[0], np.cumsum(step)[:-1]])
+            low = np.concatenate([[at[0] if last is None else last], at[:-1]])
+            i = np.arange(len(at))[int(last is None) :]
+            if len(i):
+                i = i[before[i] == before[i].min()]
+                k = i[np.argmax((at - low)[i])]
+                best = min(filter(None, [best, (int(before[k]), float(low[k] - at[k]), between(low[k], at[k]))]))
+            first = float(at[0]) if first is None else first
+            last, cost, bad = float(at[-1]), cost + int(step.sum()), bad + int(poor.sum())
+        if first is not None:
+            row = (first, last, cost, bad, *(best or (None, None, None)))
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, [pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])], names)
+
+    distinct = rows.groupBy("score").agg(F.sum(F.expr("if(quality = 1, 1L, 0L)")).alias("good"), F.sum(F.expr("if(quality = 0, 1L, 0L)")).alias("poor"))
+    parts = distinct.repartitionByRange("score").sortWithinPartitions("score").mapInArrow(run, "first double, last double, cost long, bad long, least long, width double, edge double")
+    ranges = sorted(tuple(r) for r in parts.collect())
+    if not sum(r[3] for r in ranges):
+        return -np.inf
+    # Widths are negative: the least of equal costs is the widest gap.
+    found, cost, last = [(0, 0.0, ranges[0][0] - 1)], 0, None
+    for first, end, total, _, least, width, edge in ranges:
+        if last is not None:
+            found.append((cost, last - first, between(last, first)))
+        if least is not None:
+            found.append((cost + least, width, edge))
+        cost, last = cost + total, end
+    return float(min([*found, (cost, 0.0, last + 1)])[2])
+
+
+def between(low: float, high: float) -> float:
+    """The middle, and the higher one of neighbouring numbers, for ties with the threshold are kept."""
+    middle = (float(low) + float(high)) / 2
+    return middle if middle > low else float(high)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """The log ratio of each bucket, and the threshold of a document's mean.
 
-    Raw counts cover all documents; the target's are of at most TRUSTED documents labelled 1.  The threshold lies between the scores
-    of documents labelled 0 and 1 (at most JUDGED of each): where fewest are wrong, a good document counting ten
-    times, in the middle of the widest gap.  Without labels of either kind nothing is rejected.
+    Raw counts cover all documents, the target's all that are labelled 1.  The threshold lies between the scores of all documents
+    labelled 0 and 1: where fewest are wrong, a good document counting ten times, in the middle of the widest gap.  Without labels of
+    either kind nothing is rejected.
     """
-    good, bad = sampled(docs, labels, 1, TRUSTED), sampled(docs, labels, 0, JUDGED)
-    raw, target = counted(docs), counted(good)
+    known = agreed(labels)
+    raw, target = counted(docs), counted(labelled(docs.select("doc_id", "text").where("text <> ''"), known.where("quality = 1")))
     if not target.sum():
         return np.zeros(BUCKETS), -np.inf
     p = (target + 0.5) / (target.sum() + 0.5 * BUCKETS)
     q = (raw + 0.5) / (raw.sum() + 0.5 * BUCKETS)
     ratio = np.log(p / q)
-    g, b = np.sort(scores(good, ratio)), np.sort(scores(bad, ratio))
-    if not len(b):
-        return ratio, -np.inf
-    at = np.unique(np.concatenate([g, b]))
-    edges = np.concatenate([[at[0] - 1], (at[1:] + at[:-1]) / 2, [at[-1] + 1]])
-    cost = 10 * np.searchsorted(g, edges) + len(b) - np.searchsorted(b, edges)
-    width = np.concatenate([[0], np.diff(at), [0]])
-    best = np.flatnonzero(cost == cost.min())
-    return ratio, float(edges[best[np.argmax(width[best])]])
+    with small_batches(docs.sparkSession):
+        return ratio, threshold(labelled(scored(docs, ratio), known))
 
 
 def assess(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -113,7 +164,7 @@ def assess(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) ->
     kept; ties with the threshold are kept; rows that repeat, repeat; other columns are ignored; labels may be empty.
     """
     lower_batches(docs.sparkSession)
-    ratio, threshold = fit(docs, labels)
+    ratio, least = fit(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches):
@@ -124,7 +175,7 @@ def assess(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) ->
                 n, chars, symbols, lines, repeat = base_counts(text, hashes)
                 score = float(ratio[grams(text.encode())].mean()) if text else 0.0
                 failed = n < 50 or 100 * repeat > 50 * n
-                out.append((n, chars, symbols, lines, repeat, failed, not failed and score >= threshold, score))
+                out.append((n, chars, symbols, lines, repeat, failed, not failed and score >= least, score))
             cols = list(zip(*out)) or [()] * 8
             if keep is not None:
                 yield batch.filter(pa.array(cols[6], pa.bool_()))

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakehone.llm import ann, bpe, htmltext, langid, license_scan, mixing, neardup, quality, queries, secretscan, tokenio
+from lakehone.llm.common import options
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -668,6 +669,44 @@ def test_quality(spark, docs, odd, empty, sf):
     assert kept.schema == docs.schema and kept.count() == quality.assess(docs, labels).where("kept").count()
 
 
+def brute_threshold(good, bad):
+    """Fewest wrong, then the widest gap, then the lowest, by trying each edge."""
+    at = sorted({*good, *bad})
+    edges = [(at[0] - 1, 0.0), *(((a + b) / 2, b - a) for a, b in zip(at, at[1:])), (at[-1] + 1, 0.0)]
+    return min((10 * sum(g < e for g in good) + sum(b >= e for b in bad), -w, e) for e, w in edges)[2] if bad else -np.inf
+
+
+def test_quality_threshold(spark):
+    rng = np.random.default_rng(6)
+    with options(spark, adaptive__coalescePartitions__enabled="false", execution__arrow__maxRecordsPerBatch="7"):
+        for n, m, most in ((1, 1, 3), (40, 200, 100), (200, 1500, 400), (30, 30, 10**6), (50, 0, 90), (0, 50, 90)):
+            good, bad = (rng.integers(0, most, n) + most // 3).tolist(), rng.integers(0, most, m).tolist()
+            rows = spark.createDataFrame([(x / 8, 1) for x in good] + [(x / 8, 0) for x in bad], "score double, quality int")
+            assert quality.threshold(rows) == brute_threshold([x / 8 for x in good], [x / 8 for x in bad])
+
+
+def test_quality_is_fitted_on_all_labels(spark):
+    # More labelled documents of each kind than were once taken; a part has two labels, a part two that differ, a part no text.
+    n = 48_000
+    text = F.expr("if(id % 97 = 0, null, concat_ws(' ', transform(sequence(1, 3 + id % 4), i -> substr(sha2(cast(id * 7 + i as string), 256), 1, if(id % 2 = 0, 3, 2 + i % 3)))))")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"))
+    labels = spark.range(n).selectExpr("id as doc_id", "cast(if(id % 20 = 3, 1, (id + 1) % 2) as int) as quality")
+    labels = labels.union(labels.where("doc_id % 50 = 0")).union(labels.where("doc_id % 101 = 0").selectExpr("doc_id", "1 - quality"))
+    ratio, least = quality.fit(docs, labels)
+    rows = [(r.doc_id, quality.grams(r.text.encode())) for r in docs.collect() if r.text is not None]
+    known = labels.toPandas().groupby("doc_id").quality.agg(["min", "max"])
+    known = known["min"][known["min"] == known["max"]].to_dict()
+    count = lambda wanted: np.bincount(np.concatenate([g for i, g in rows if wanted(i)]), minlength=quality.BUCKETS) + 0.5
+    target, raw = count(lambda i: known.get(i) == 1), count(lambda i: True)
+    want = np.log(target / target.sum() / (raw / raw.sum()))
+    assert np.allclose(ratio, want, rtol=0, atol=1e-9)
+    score = [(known[i], float(ratio[g].mean())) for i, g in rows if i in known]
+    assert min(sum(k == v for k, _ in score) for v in (0, 1)) > 20_000
+    good, bad = (np.sort([s for k, s in score if k == v]) for v in (1, 0))
+    wrong = lambda e: 10 * np.searchsorted(good, e) + len(bad) - np.searchsorted(bad, e)
+    assert wrong(least) == min(wrong(np.array([s for _, s in score])).min(), wrong(good[-1] + 1), wrong(bad[-1] + 1))
+
+
 # 9
 
 
