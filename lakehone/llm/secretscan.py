@@ -7,6 +7,9 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
+from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,8 @@ TELLING = NAMES
 DIGIT = re.compile("[0-9]")
 HARMLESS = re.compile(r"(?i)example|sample|placeholder|dummy|commit|sha-?\d*|md5|checksum|digest|hash|uuid|guid|isbn|doi|version|revision|fixture|\btest\b|order|invoice|serial|etag")
 TREES, DEPTH, TRAIN = 25, 8, 6000
+#: Code points of a window of a long candidate.
+WINDOW = 512
 CLASSES = np.zeros(256, np.int64)
 for _i in range(256):
     _c = chr(_i)
@@ -121,22 +126,34 @@ FEATURES = ["length", "log_length", "lower", "upper", "digit", "other", "changes
 _COMMON = frozenset("th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur de la le que qu ie ei ge au eu".split())
 
 
-def features(text: str, start: int, end: int, kind: str) -> list[float]:
-    """What the forest looks at: the candidate's length, character transitions and dictionary coverage, its path and the words next to it."""
-    s = text[start:end][:512]
+def parts(start: int, end: int) -> Iterator[tuple[int, int]]:
+    """A candidate, and of one longer than WINDOW also windows that overlap by half and reach its end, so that a long secret is seen wherever in the candidate it stands and whatever is around it."""
+    yield start, end
+    if end - start > WINDOW:
+        yield from ((at, at + WINDOW) for at in range(start, end - WINDOW, WINDOW // 2))
+        yield end - WINDOW, end
+
+
+def features(text: str, start: int, end: int, kind: str, part: tuple[int, int] | None = None) -> list[float]:
+    """What the forest looks at: the candidate's length, character transitions and dictionary coverage, its path and the words next to it.  With a part, of that part of the candidate; the path and the words are still those around the whole."""
+    s = text[slice(*(part or (start, end)))]
     n = len(s)
     cls = CLASSES[np.frombuffer(s.encode("latin-1", "replace"), np.uint8)]
     share = np.bincount(cls, minlength=4) / n
     many = np.unique(np.frombuffer(s.encode("utf-8", "replace"), np.uint8), return_counts=True)[1] / n
     low = s.lower()
-    pairs = [low[i : i + 2] for i in range(n - 1) if low[i : i + 2].isalpha()]
-    words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", s).lower())
-    known = [w for w in words if len(w) >= 3 and (w in WORDS or len(w) >= 5 and sum(w[i : i + 2] in _COMMON for i in range(len(w) - 1)) >= 0.55 * (len(w) - 1))]
+    pairs = Counter(map("".join, zip(low, low[1:])))
+    covered = longest = 0
+    for m in re.finditer(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", s).lower()):
+        w = m[0]
+        longest = max(longest, len(w))
+        if len(w) >= 3 and (w in WORDS or len(w) >= 5 and sum(w[i : i + 2] in _COMMON for i in range(len(w) - 1)) >= 0.55 * (len(w) - 1)):
+            covered += len(w)
     before, after = text[max(0, start - 48) : start], text[end : end + 24]
     near = before.rsplit("\n", 1)[-1]
     return [
         n, math.log(n), *share.tolist(), float((cls[1:] != cls[:-1]).mean()) if n > 1 else 0.0, float(-(many * np.log2(many)).sum()),
-        sum(p in _COMMON for p in pairs) / max(1, len(pairs)), float(bool(re.fullmatch(r"[0-9a-fA-F]+", s))), sum(map(len, known)) / n, max(map(len, words), default=0),
+        sum(k for p, k in pairs.items() if p in _COMMON) / max(1, sum(k for p, k in pairs.items() if p.isalpha())), float(bool(re.fullmatch(r"[0-9a-fA-F]+", s))), covered / n, longest,
         len(set(s)) / n, s.count("/"), s.count("."), s.count("-"), float(bool(re.search(r"[\w.~]/[\w.-]*$", before)) or s.count("/") > 1), float("://" in before[-40:] and " " not in before[before.rfind("://") :]), float("@" in s or after[:1] == "@"),
         float(bool(TELLING.search(near[-24:]))), float(bool(HARMLESS.search(near[-24:]) or HARMLESS.search(after) or HARMLESS.search(s))), float(any(p.match(s) for p in KNOWN.values())), float(kind in ("assigned", "bearer", "url")), float(before[-1:] in "\"'`" and bool(before)), float(bool(re.fullmatch(r"(.{1,4})\1+.?", s))),
     ]
@@ -271,19 +288,20 @@ def train(findings: list[tuple[str, int, int, str, int]] | None = None) -> Fores
     return Forest(x, np.array([y for *_, y in findings], float))
 
 
-#: Candidates whose features are held at once.
+#: Candidates, or parts of them, whose features are held at once.
 AT_ONCE = 20_000
 
 
 def findings(texts: list[str | None], forest: Forest, threshold: float = 0.5) -> list[list[tuple[int, int, str, float]]]:
-    """Start, end, kind and probability of all candidates of each text; keys between their marks are certain."""
+    """Start, end, kind and probability of all candidates of each text: the probability is that of the likeliest of a candidate's parts; keys between their marks are certain."""
     spans = [(i, *c) for i, t in enumerate(texts) if t for c in candidates(t)]
+    best = np.array([float(k == "private_key") for *_, k in spans])
+    for rows in batched(((j, part) for j, (_, s, e, k) in enumerate(spans) if k != "private_key" for part in parts(s, e)), AT_ONCE):
+        p = forest.predict(np.array([features(texts[spans[j][0]], *spans[j][1:], part) for j, part in rows]))
+        np.maximum.at(best, [j for j, _ in rows], p)
     out: list[list[tuple[int, int, str, float]]] = [[] for _ in texts]
-    for at in range(0, len(spans), AT_ONCE):
-        part = spans[at : at + AT_ONCE]
-        p = forest.predict(np.array([features(texts[i], s, e, k) for i, s, e, k in part]))
-        for (i, s, e, k), score in zip(part, p.tolist()):
-            out[i].append((s, e, k, max(score, float(k == "private_key"))))
+    for (i, s, e, k), score in zip(spans, best.tolist()):
+        out[i].append((s, e, k, score))
     return out
 
 

@@ -757,6 +757,36 @@ def test_long_secrets():
     assert got.count("[SECRET:") == 4 and a[-20:] not in got and key not in got
 
 
+def test_long_candidates_are_judged_whole():
+    forest = secretscan.train()
+    rng = np.random.default_rng(13)
+    draw = lambda n: "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), n))
+    word = lambda n: "_".join(rng.choice(["and", "that", "this", "with", "from", "have", "which", "would"], n))
+    # A secret that starts after, or stands long before, what looks like none.
+    for n in (600, 3000, 40_000):
+        for filler in ("x" * n, "=-" * (n // 2), word(n // 5)):
+            for k in (600, 3000):
+                key = draw(k)
+                for value in (filler + key, key + filler, filler + key + filler):
+                    text = f'token = "{value}" end'
+                    (found,) = secretscan.findings([text], forest)
+                    assert secretscan.redact(text, found, 0.5) == 'token = "[SECRET:assigned]" end', (n, filler[:9], k)
+        # Long values and runs without a secret stay.
+        path = "/".join(rng.choice(["share", "library", "images", "version", "packages"], n // 7)) + "/a1.html"
+        for text in (f"token = {word(n // 5)} end", f"see {path} for more", "commit " + "".join(rng.choice(list("0123456789abcdef"), n))):
+            (found,) = secretscan.findings([text], forest)
+            assert found and secretscan.redact(text, found, 0.5) == text
+    # Features are those of all of a candidate; its windows leave nothing out.
+    at = lambda text, name: secretscan.features(text, 0, len(text), "run")[secretscan.FEATURES.index(name)]
+    text = "a" * 600 + "9./-" * 50
+    assert [at(text, x) for x in ("length", "digit", "slashes", "dots", "dashes", "longest_word", "hex")] == [800, 50 / 800, 50, 50, 50, 600, 0]
+    for n in (1, 512, 513, 768, 769, 1024, 5001):
+        (whole, *windows) = secretscan.parts(7, 7 + n)
+        assert whole == (7, 7 + n) and bool(windows) == (n > 512)
+        assert all(any(a <= i and i + 256 <= b for a, b in windows) for i in range(7, 7 + n - 255)) or n <= 512
+        assert all(7 <= a and b <= 7 + n and b - a == 512 for a, b in windows)
+
+
 def test_secret_prefilters():
     for text, value, kind in (("the PASSWORD IS Xy7kQ9vL today", "Xy7kQ9vL", "assigned"), ("password is\nXy7kQ9vL", "Xy7kQ9vL", "assigned"), ("token Is\tXy7kQ9vL", "Xy7kQ9vL", "assigned"), ("use beaREr Xy7kQ9vLm2Rt", "Xy7kQ9vLm2Rt", "bearer")):
         assert [(text[s:e], k) for s, e, k in secretscan.candidates(text)] == [(value, kind)]
