@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from .common import WordHashes, lower_batches, mix64, rolled, small_batches
 
 GRAM, BUCKETS = 4, 1 << 16
+#: Ids of documents labelled 1 that tasks hold, 8 bytes each; with more of them, or ids that are no integers, texts are shuffled to their labels.
+HELD, INTEGERS = 8_000_000, ("tinyint", "smallint", "int", "bigint")
 SPACES = bytes(i for i in range(256) if i == 0x20 or 9 <= i <= 13)
 
 
@@ -43,24 +45,36 @@ def base_counts(text: str | None, hashes: WordHashes) -> tuple[int, int, int, in
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeat
 
 
-def counted(docs: DataFrame) -> np.ndarray:
-    """N-grams of all documents by bucket."""
+def counted(docs: DataFrame, ids: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams by bucket, of all documents and of those whose doc_id is one of ids (sorted)."""
+    shared = None if ids is None else docs.sparkSession.sparkContext.broadcast(ids)
 
     def count(batches):
-        total = np.zeros(BUCKETS, np.int64)
+        total = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            texts = [grams(t.encode()) for t in batch.column(0).to_pylist() if t]
-            if texts:
-                total += np.bincount(np.concatenate(texts), minlength=BUCKETS)
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["bucket", "n"])
+            texts = batch.column("text").to_pylist()
+            known = np.zeros(len(texts), bool)
+            if shared is not None and len(shared.value):
+                own = batch.column("doc_id")
+                values = own.fill_null(0).to_numpy()
+                at = np.minimum(np.searchsorted(shared.value, values), len(shared.value) - 1)
+                known = (shared.value[at] == values) & own.is_valid().to_numpy(zero_copy_only=False)
+            for to, part in zip(total, (~known, known)):
+                found = [grams(t.encode()) for t, here in zip(texts, part.tolist()) if here and t]
+                if found:
+                    to += np.bincount(np.concatenate(found), minlength=BUCKETS)
+        total[0] += total[1]
+        there = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(there), *(pa.array(x[there]) for x in total)], ["bucket", "n", "known"])
 
     # At most BUCKETS rows come to the driver.
     with small_batches(docs.sparkSession):
-        found = docs.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(BUCKETS, np.int64)
-    out[found["bucket"].to_numpy()] = found["n"].to_numpy()
-    return out
+        rows = docs.select("text") if ids is None else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        found = rows.mapInArrow(count, "bucket long, n long, known long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("known").alias("known")).toArrow()
+    out = np.zeros((2, BUCKETS), np.int64)
+    for to, name in zip(out, ("n", "known")):
+        to[found["bucket"].to_numpy()] = found[name].to_numpy()
+    return out[0], out[1]
 
 
 def agreed(labels: DataFrame) -> DataFrame:
@@ -147,7 +161,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     either kind nothing is rejected.
     """
     known = agreed(labels)
-    raw, target = counted(docs), counted(labelled(docs.select("doc_id", "text").where("text <> ''"), known.where("quality = 1")))
+    good = known.where("quality = 1").select("doc_id")
+    if all(df.schema["doc_id"].dataType.simpleString() in INTEGERS for df in (docs, labels)) and good.count() <= HELD:
+        raw, target = counted(docs, np.sort(good.select(F.col("doc_id").cast("long")).toArrow()["doc_id"].to_numpy()))
+    else:
+        raw, target = counted(docs)[0], counted(labelled(docs.select("doc_id", "text").where("text <> ''"), good))[0]
     if not target.sum():
         return np.zeros(BUCKETS), -np.inf
     p = (target + 0.5) / (target.sum() + 0.5 * BUCKETS)

@@ -685,11 +685,14 @@ def test_quality_threshold(spark):
             assert quality.threshold(rows) == brute_threshold([x / 8 for x in good], [x / 8 for x in bad])
 
 
-def test_quality_is_fitted_on_all_labels(spark):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_quality_is_fitted_on_all_labels(spark, monkeypatch, shuffled):
+    if shuffled:
+        monkeypatch.setattr(quality, "HELD", 100)
     # More labelled documents of each kind than were once taken; a part has two labels, a part two that differ, a part no text.
     n = 48_000
     text = F.expr("if(id % 97 = 0, null, concat_ws(' ', transform(sequence(1, 3 + id % 4), i -> substr(sha2(cast(id * 7 + i as string), 256), 1, if(id % 2 = 0, 3, 2 + i % 3)))))")
-    docs = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"))
+    docs = spark.range(n).select(F.expr("if(id % 89 = 0, null, id)").alias("doc_id"), text.alias("text"))
     labels = spark.range(n).selectExpr("id as doc_id", "cast(if(id % 20 = 3, 1, (id + 1) % 2) as int) as quality")
     labels = labels.union(labels.where("doc_id % 50 = 0")).union(labels.where("doc_id % 101 = 0").selectExpr("doc_id", "1 - quality"))
     ratio, least = quality.fit(docs, labels)
