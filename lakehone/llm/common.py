@@ -11,8 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows and bytes of one Arrow batch: long texts make large batches otherwise.
-ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
+from ..session import ARROW_BYTES, ARROW_ROWS, lower_batches  # noqa: F401  operators take the last from here
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -52,17 +52,6 @@ def small_batches(spark: SparkSession):
     return options(spark, execution__arrow__maxRecordsPerBatch=str(ARROW_ROWS), execution__arrow__maxBytesPerBatch=str(ARROW_BYTES))
 
 
-def lower_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to ARROW_ROWS and ARROW_BYTES, for results that run when the caller reads them: such rows have no job of their own that an option
-    could be bound to, and whole texts in batches of Spark's size fill an executor's memory.  Sessions with smaller batches keep them.
-    """
-    for name, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
-        key = f"spark.sql.execution.arrow.{name}"
-        now = int(spark.conf.get(key).rstrip("bB"))
-        if now <= 0 or now > most:
-            spark.conf.set(key, str(most))
-
-
 #: Folders of scratch(), the innermost last.
 _scratch: list[str] = []
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.adapt import METADATA, adapted, metadata
-from ..functions.text import overlap_key
+from ..functions.text import overlap_keys
 from ..operators.dedup import grouped_split, hash_split
+from ..session import lower_batches
 
-#: What decisions are made of.
-DECIDING = ["id", "dataset", "split", "original_split", "row_index", "official", "preserved", "labeled", "job_rank", "problems", "example_hash", "input_hash", "reserved_hash", "user_texts"]
+#: What decisions are made of, besides the keys of user texts.
+DECIDING = ["id", "dataset", "split", "original_split", "row_index", "official", "preserved", "labeled", "job_rank", "problems", "example_hash", "input_hash", "reserved_hash"]
 #: Order of jobs: preserved test, validation and training splits before all others.
 RANKS = {"test": 0, "validation": 1, "train": 2}
 
@@ -38,14 +39,18 @@ def decided(rows: DataFrame, benchmarks: DataFrame, seed=42, fraction: float = 0
     """rows of prepared() with decision, reason, split, duplicate_of, benchmark_matches.
 
     The rows are read five times, once for each thing that is known of all of them, and the UDFs before them are dear: only what decides
-    (ids, hashes, splits, user texts) is kept in memory or on disk meanwhile, and decisions are joined to the rows by id.
+    (ids, hashes, splits, keys of user texts) is kept in memory or on disk meanwhile, and decisions are joined to the rows by id.
+
+    Joins on a key want it not null, and Spark moves that test below the UDF's place and evaluates the UDF for it once more, in a second
+    Python worker of the same task: keys of user texts are kept with the rows, and those of benchmarks can't be null.
     """
-    rows, whole = rows.select(*DECIDING).persist(), rows
+    lower_batches(rows.sparkSession)
+    rows, whole = rows.select(*DECIDING, overlap_keys("user_texts").alias("text_hashes")).persist(), rows
     good = F.size("problems") == 0
     reserved = rows.where("official").select(F.coalesce("input_hash", "reserved_hash").alias("input_hash"), "split").where("input_hash is not null")
     reserved = reserved.groupBy("input_hash").agg(F.min("split").alias("held"))  # test before validation
-    texts = rows.where(good).select("id", F.explode(F.array_distinct("user_texts")).alias("t")).select("id", overlap_key("t").alias("hash"))
-    matches = texts.join(benchmarks, "hash").groupBy("id").agg(F.array_sort(F.collect_set("name")).alias("benchmark_matches"))
+    texts = rows.where(good).select("id", F.explode(F.array_distinct("text_hashes")).alias("hash"))
+    matches = texts.join(benchmarks.withColumn("hash", F.coalesce("hash", F.lit(""))), "hash").groupBy("id").agg(F.array_sort(F.collect_set("name")).alias("benchmark_matches"))
     own = F.when(F.col("preserved") & (F.col("split") == "train"), F.lit("train"))
     trained = rows.where(good & own.isNotNull()).select("input_hash").distinct().withColumn("in_train", F.lit(True))
     # A null hash joins nothing: quarantined rows keep their place without a shuffle to one task.

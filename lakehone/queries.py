@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .functions import answers, jsons, mcq, metrics, text
 from .operators import conversations, dedup, overlap, review, rollups, sampling
 from .plans import curate, judge, prepare, runs
+from .session import lower_batches
 from .sources import readers, tasks
 
 QUERIES, ORACLES = {}, {}
@@ -264,6 +265,7 @@ def corpus_metrics(spark, sf):
 @query()
 def overlap_keys(spark, sf):
     """NFC keys of all documents' texts; DuckDB's nfc_normalize is not what all builds have."""
+    lower_batches(spark)
     return read(spark, sf, "documents").select("doc_id", text.overlap_key("text").alias("key"))
 
 

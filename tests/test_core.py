@@ -246,6 +246,23 @@ def test_prepare(spark):
     assert have == sequential(model, bench, 42, 0.3)
 
 
+def test_prepare_hashes_texts_once(spark, sf):
+    """Keys are not computed again for the joins' tests for null, and whole texts go to Python in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    plan = queries.prepare_decisions(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "isnotnull(pythonUDF" not in plan
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+
+
+def test_prepare_null_texts(spark):
+    """A null among the user texts or the benchmarks' keys matches nothing, the texts beside it do; a text said twice counts once."""
+    raw = [(i, "d", "train", "train", n, False, False, True, 3, [], i, i, None, texts) for n, (i, texts) in enumerate([("a", [None]), ("b", [None, "x  y", "x y"]), ("c", None), ("d", [""])])]
+    rows = spark.createDataFrame(raw, "id string, dataset string, split string, original_split string, row_index long, official boolean, preserved boolean, labeled boolean, job_rank int, problems array<string>, example_hash string, input_hash string, reserved_hash string, user_texts array<string>")
+    marks = spark.createDataFrame([(None, "none"), ("x y", "m")], "t string, name string").select(text.overlap_key("t").alias("hash"), "name")
+    got = {r.id: (r.decision, r.benchmark_matches) for r in prepare.decided(rows, marks).collect()}
+    assert got == {"a": ("keep", []), "b": ("exclude", ["m"]), "c": ("keep", []), "d": ("keep", [])}
+
+
 def test_curated(spark):
     rows = [("1", True, "train", "s", "t", [USER, SAYS]), ("2", True, "train", "s", "t", [USER]), ("3", True, "train", "odd", "t", [USER, SAYS]), ("4", True, "train", "s", "t", [USER, {"role": "assistant", "content": "�"}]), ("5", True, "test", "s", "t", None)]
     df = spark.createDataFrame([(i, "d", lab, sp, so, ta, "h", "i", "not json" if m is None else json.dumps(m), "[]") for i, lab, sp, so, ta, m in rows], "id string, dataset string, is_labeled boolean, split string, source string, task string, example_hash string, input_hash string, messages_json string, tools_json string")
