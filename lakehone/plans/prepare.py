@@ -36,7 +36,7 @@ def prepared(raw: DataFrame) -> DataFrame:
 
 
 def decided(rows: DataFrame, benchmarks: DataFrame, seed=42, fraction: float = 0.02) -> DataFrame:
-    """rows of prepared() with decision, reason, split, duplicate_of, benchmark_matches.
+    """rows of prepared() with decision, reason, split, duplicate_of, benchmark_matches.  text_hashes, the overlap_keys() of user_texts, can stand in their place.
 
     The rows are read five times, once for each thing that is known of all of them, and the UDFs before them are dear: only what decides
     (ids, hashes, splits, keys of user texts) is kept in memory or on disk meanwhile, and decisions are joined to the rows by id.
@@ -45,7 +45,8 @@ def decided(rows: DataFrame, benchmarks: DataFrame, seed=42, fraction: float = 0
     Python worker of the same task: keys of user texts are kept with the rows, and those of benchmarks can't be null.
     """
     lower_batches(rows.sparkSession)
-    rows, whole = rows.select(*DECIDING, overlap_keys("user_texts").alias("text_hashes")).persist(), rows
+    keys = F.col("text_hashes") if "text_hashes" in rows.columns else overlap_keys("user_texts").alias("text_hashes")
+    rows, whole = rows.select(*DECIDING, keys).persist(), rows
     good = F.size("problems") == 0
     reserved = rows.where("official").select(F.coalesce("input_hash", "reserved_hash").alias("input_hash"), "split").where("input_hash is not null")
     reserved = reserved.groupBy("input_hash").agg(F.min("split").alias("held"))  # test before validation
@@ -69,7 +70,7 @@ def decided(rows: DataFrame, benchmarks: DataFrame, seed=42, fraction: float = 0
         F.when(repeated, F.col("first_id")).alias("duplicate_of"),
         F.coalesce("benchmark_matches", F.array().cast("array<string>")).alias("benchmark_matches"),
     )
-    return whole.select(*(c for c in whole.columns if c not in ("split", "reserved_hash", "user_texts"))).join(told, "id")
+    return whole.select(*(c for c in whole.columns if c not in ("split", "reserved_hash", "user_texts", "text_hashes"))).join(told, "id")
 
 
 __all__ = ["decided", "grouped_split", "prepared"]

@@ -548,18 +548,24 @@ select doc_id, case when early = 'quarantine' then 'quarantine' when early is no
 case when early = 'quarantine' then 'too_short' when early is not null then early when repeated then 'exact_duplicate' else '' end as reason,
 case when not good or official then split when held is not null then held when in_train then 'train' when {SHARE.format('input_hash')} < 922337203685477580 then 'validation' else 'train' end as split, case when repeated then first_id end as duplicate_of, case when hit then 'toxic' else '' end as matched from z""")
 def prepare_decisions(spark, sf):
-    """Decision, reason and split of each document: three sources keep their splits, toxic texts are the benchmark, short ones are unsound."""
-    docs = read(spark, sf, "documents").where("text is not null and source is not null and n_chars is not null").join(read(spark, sf, "labels"), "doc_id", "left")
+    """Decision, reason and split of each document: three sources keep their splits, toxic texts are the benchmark, short ones are unsound.
+
+    Labels are joined to hashes: texts are read once and not shuffled.
+    """
+    lower_batches(spark)
+    docs = read(spark, sf, "documents").where("text is not null and source is not null and n_chars is not null")
+    hashes = F.sha2("text", 256).alias("whole"), F.sha2(F.substring("text", 1, 40), 256).alias("asked"), text.overlap_key("text").alias("key")
+    docs = docs.select("doc_id", "lang", "source", "n_chars", *hashes).persist().join(read(spark, sf, "labels"), "doc_id", "left")
     split = F.when(F.col("source") == "src1", "test").when(F.col("source") == "src2", "validation").otherwise("train")
     kept = F.col("source").isin("src1", "src2", "src3")
-    good, asked = F.col("n_chars") >= 60, F.sha2(F.substring("text", 1, 40), 256)
+    good, none = F.col("n_chars") >= 60, F.array().cast("array<string>")
     rank = F.when(kept, F.when(split == "test", 0).when(split == "validation", 1).otherwise(2)).otherwise(3)
     rows = docs.select(
         "doc_id", F.sha2(F.col("doc_id").cast("string"), 256).alias("id"), F.coalesce("lang", F.lit("none")).alias("dataset"), split.alias("split"), split.alias("original_split"), F.col("doc_id").alias("row_index"), kept.alias("preserved"), (kept & (split != "train")).alias("official"),
-        F.col("quality").isNotNull().alias("labeled"), rank.alias("job_rank"), F.when(good, F.array().cast("array<string>")).otherwise(F.array(F.lit("too_short"))).alias("problems"),
-        F.when(good, F.sha2("text", 256)).alias("example_hash"), F.when(good, asked).alias("input_hash"), F.when(~good, asked).alias("reserved_hash"), F.when(good, F.array("text")).otherwise(F.array().cast("array<string>")).alias("user_texts"),
+        F.col("quality").isNotNull().alias("labeled"), rank.alias("job_rank"), F.when(good, none).otherwise(F.array(F.lit("too_short"))).alias("problems"),
+        F.when(good, F.col("whole")).alias("example_hash"), F.when(good, F.col("asked")).alias("input_hash"), F.when(~good, F.col("asked")).alias("reserved_hash"), F.when(good, F.array("key")).otherwise(none).alias("text_hashes"),
     )
-    marks = docs.where("toxic = 1").select(text.overlap_key("text").alias("hash"), F.lit("toxic").alias("name")).distinct()
+    marks = docs.where("toxic = 1").select(F.col("key").alias("hash"), F.lit("toxic").alias("name")).distinct()
     out = prepare.decided(rows, marks, 42, 0.05)
     return out.select("doc_id", "decision", F.array_join("reasons", ",").alias("reason"), "split", "duplicate_of", F.array_join("benchmark_matches", ",").alias("matched"))
 

@@ -4,6 +4,7 @@ import collections
 import io
 import json
 import random
+import re
 import tarfile
 import zipfile
 from decimal import Decimal
@@ -254,6 +255,17 @@ def test_prepare_hashes_texts_once(spark, sf):
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
 
 
+def test_prepare_shuffles_no_texts(spark, sf):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries.prepare_decisions(spark, sf)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert dealt and not any("text#" in columns for columns in dealt)
+
+
 def test_prepare_null_texts(spark):
     """A null among the user texts or the benchmarks' keys matches nothing, the texts beside it do; a text said twice counts once."""
     raw = [(i, "d", "train", "train", n, False, False, True, 3, [], i, i, None, texts) for n, (i, texts) in enumerate([("a", [None]), ("b", [None, "x  y", "x y"]), ("c", None), ("d", [""])])]
